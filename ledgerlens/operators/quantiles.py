@@ -1,8 +1,8 @@
 """Quantile helpers.
 
-``cut_points`` / ``bucket_of``: value cuts from ``percentile_approx`` (an
+``cut_points`` / ``bucketize``: value cuts from ``percentile_approx`` (an
 aggregate with a map-side sketch, never a global sort) and the bucket of a
-value against a cut array, as a JVM-side higher-order function.
+value against the cuts with ``Bucketizer`` (a map-only JVM transformer).
 
 ``exact_percentiles``: interpolated percentiles (numpy/pandas ``linear``,
 SQL ``quantile_cont``) per group, without collecting a group anywhere.
@@ -23,16 +23,26 @@ from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 1_000_000
 
 
-def cut_points(df: DataFrame, value: str, probs: list[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """One-row frame with ``cuts``: sorted, de-duplicated value cuts at ``probs``."""
+def cut_points(df: DataFrame, value: str, probs: list[float], accuracy: int = DEFAULT_ACCURACY) -> list[float]:
+    """Sorted, de-duplicated value cuts at ``probs`` (one aggregate; a few scalars reach the driver)."""
     clean = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    return clean.agg(F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("cuts"))
+    row = clean.agg(F.percentile_approx(value, probs, accuracy).alias("cuts")).first()
+    cuts = row["cuts"] if row is not None and row["cuts"] is not None else []
+    return sorted(set(float(c) for c in cuts))
 
 
-def bucket_of(value: Column | str, cuts: Column) -> Column:
-    """0-based bucket: number of cuts <= value (Bucketizer semantics, [lo, hi))."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.size(F.filter(cuts, lambda c: c <= v))
+def bucketize(df: DataFrame, value: str, cuts: list[float], out: str) -> DataFrame:
+    """0-based bucket of ``value``: number of cuts <= value (Bucketizer, [lo, hi) intervals).
+
+    Equal cuts are merged first (Bucketizer needs strictly increasing splits);
+    null/NaN values get a null bucket.
+    """
+    from pyspark.ml.feature import Bucketizer
+    splits = [-float("inf")] + sorted(set(cuts)) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=value, outputCol=out, handleInvalid="keep")
+    res = b.transform(df)
+    bad = F.col(value).isNull() | F.isnan(value)
+    return res.withColumn(out, F.when(bad, F.lit(None)).otherwise(F.col(out).cast("int")))
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols: list[str] | None = None,
@@ -44,7 +54,10 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols:
     src = src.select(*groups, F.col(value).alias("_v")) if groups else src.select(F.lit(0).alias("_g"),
                                                                                   F.col(value).alias("_v"))
     k = len(probs)
-    eps = 2.0 / accuracy
+    # A sketch answer at q has 0-based rank within ceil(q*n) - 1 +- n/accuracy, so the band
+    # [v(p - eps), v(p + eps)] holds ranks floor(p(n-1)) .. ceil(p(n-1)) once eps >= 1/accuracy + 2/n.
+    # eps = 3/accuracy covers every group with n >= accuracy; smaller groups use their whole range.
+    eps = 3.0 / accuracy
     band_probs = []
     for p in probs:
         band_probs += [max(0.0, p - eps), min(1.0, p + eps)]
@@ -53,8 +66,11 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols:
     stats = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"),
                                    F.max("_v").alias("_max"),
                                    F.percentile_approx("_v", band_probs, accuracy).alias("_b"))
-    lo = [F.when(F.lit(p - eps) <= 0, F.col("_min")).otherwise(F.col("_b")[2 * i]) for i, p in enumerate(probs)]
-    hi = [F.when(F.lit(p + eps) >= 1, F.col("_max")).otherwise(F.col("_b")[2 * i + 1]) for i, p in enumerate(probs)]
+    small = F.col("_n") < accuracy
+    lo = [F.when(small | (F.lit(p - eps) <= 0), F.col("_min")).otherwise(F.col("_b")[2 * i])
+          for i, p in enumerate(probs)]
+    hi = [F.when(small | (F.lit(p + eps) >= 1), F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
+          for i, p in enumerate(probs)]
     stats = stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi"))
 
     # pass 2: rows below each band (one aggregate) and rows inside a band (tagged by target)

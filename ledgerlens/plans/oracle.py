@@ -91,9 +91,9 @@ def _grid_values() -> str:
 
 SWEEP_CTE = f""",
 counts AS (
-  SELECT g.threshold, COUNT(*) AS n, SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS pos,
-         SUM(CASE WHEN y_true = 1 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS tp,
-         SUM(CASE WHEN y_true = 0 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS fp
+  SELECT g.threshold, COUNT(*) AS n, CAST(SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+         CAST(SUM(CASE WHEN y_true = 1 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(SUM(CASE WHEN y_true = 0 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS fp
   FROM pred, {_grid_values()} GROUP BY g.threshold
 ),
 m1 AS (
@@ -114,10 +114,11 @@ best AS (
 )"""
 
 CURVE_CTE = """,
-hist AS (SELECT y_prob, SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS pos,
-                SUM(CASE WHEN y_true = 0 THEN 1 ELSE 0 END) AS neg FROM pred WHERE y_prob IS NOT NULL GROUP BY y_prob),
-tot AS (SELECT SUM(pos) AS P, SUM(neg) AS N FROM hist),
-cum AS (SELECT y_prob, pos, neg, SUM(pos) OVER (ORDER BY y_prob DESC) AS tp, SUM(neg) OVER (ORDER BY y_prob DESC) AS fp
+hist AS (SELECT y_prob, CAST(SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+                CAST(SUM(CASE WHEN y_true = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg FROM pred WHERE y_prob IS NOT NULL GROUP BY y_prob),
+tot AS (SELECT CAST(SUM(pos) AS BIGINT) AS P, CAST(SUM(neg) AS BIGINT) AS N FROM hist),
+cum AS (SELECT y_prob, pos, neg, CAST(SUM(pos) OVER (ORDER BY y_prob DESC) AS BIGINT) AS tp,
+               CAST(SUM(neg) OVER (ORDER BY y_prob DESC) AS BIGINT) AS fp
         FROM hist),
 pts AS (
   SELECT y_prob AS threshold, tp, fp,
@@ -173,9 +174,9 @@ tiered AS (
   FROM pred p, bounds
 ),
 tcounts AS (
-  SELECT tier, g.threshold, COUNT(*) AS n, SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS pos,
-         SUM(CASE WHEN y_true = 1 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS tp,
-         SUM(CASE WHEN y_true = 0 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS fp
+  SELECT tier, g.threshold, COUNT(*) AS n, CAST(SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+         CAST(SUM(CASE WHEN y_true = 1 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(SUM(CASE WHEN y_true = 0 AND y_prob >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS fp
   FROM tiered, {_grid_values()} WHERE tier IS NOT NULL GROUP BY tier, g.threshold
 ),
 tm AS (
