@@ -112,8 +112,8 @@ def _class_totals(pred: DataFrame) -> DataFrame:
 
 def curve_points(pred: DataFrame) -> DataFrame:
     """Per distinct score: cumulative counts, the point and its predecessor."""
-    tot = _class_totals(pred)
-    P_, N_ = tot.select("P").scalar(), tot.select("N").scalar()
+    tot = _class_totals(pred).select(F.struct("P", "N")).scalar()
+    P_, N_ = tot["P"], tot["N"]
     cum = cumulative_from_top(score_histogram(pred))
     tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     return cum.select(

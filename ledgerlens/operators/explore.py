@@ -81,29 +81,24 @@ def fraud_peak_hour(tx: DataFrame) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns: list[str] = config.CORRELATION_FEATURES, digits: int = 9) -> DataFrame:
-    """Pearson matrix in long form (feature_x, feature_y, corr).
+    """Pearson matrix in long form (feature_x, feature_y, corr), from one aggregate.
 
-    Pass 1 finds the non-constant columns (sample stddev > 0); pass 2 is one
-    aggregate of all pairwise ``corr``.  A pair with a constant column gets
-    null (the correlation is undefined), fed as all-null input so the
-    aggregate never divides by a zero variance.
+    corr = covar_samp / (stddev_x * stddev_y), formed after the aggregate so a
+    constant column yields null (undefined) instead of a division error.
     """
     cols = [c for c in columns if c in df.columns]
     num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    sds = num.agg(*[F.stddev_samp(c).alias(f"_sd_{i}") for i, c in enumerate(cols)])
-    varies = [F.coalesce(sds.select(F.col(f"_sd_{i}") > 0).scalar(), F.lit(False)) for i in range(len(cols))]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-
-    def guarded(i, j, c):
-        return F.when(varies[i] & varies[j], F.col(c))
-
-    aggs = [F.corr(guarded(i, j, cols[i]), guarded(i, j, cols[j])).alias(f"_c_{i}_{j}") for i, j in pairs]
+    aggs = [F.stddev_samp(c).alias(f"_sd_{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_samp(cols[i], cols[j]).alias(f"_cv_{i}_{j}") for i, j in pairs]
     one = num.agg(*aggs)
 
     def cell(i, j):
+        sd_i, sd_j = F.col(f"_sd_{i}"), F.col(f"_sd_{j}")
         if i == j:
-            return F.when(varies[i], F.lit(1.0))
-        return F.round(F.col(f"_c_{min(i, j)}_{max(i, j)}"), digits)
+            return F.when(sd_i > 0, F.lit(1.0))
+        cv = F.col(f"_cv_{min(i, j)}_{max(i, j)}")
+        return F.when((sd_i > 0) & (sd_j > 0), F.round(cv / (sd_i * sd_j), digits))
 
     cells = F.array(*[F.struct(F.lit(cols[i]).alias("feature_x"), F.lit(cols[j]).alias("feature_y"),
                                cell(i, j).cast("double").alias("corr"))

@@ -1,10 +1,19 @@
 """Shared derived frames for the query registry and the pipeline.
 
-All are lazy plans over the input tables; nothing is collected.
+The two expensive derivations, the cleaned ``transactions`` table (a
+six-table join) and the feature table, are stage outputs: on first use in
+a session they are written as Parquet into the shared checkpoint folder
+and every later plan scans that table (with column pruning and filter
+pushdown) instead of re-running the joins.  A written table also survives
+executor loss, unlike a cache.  Set ``ledgerlens.materialize=false`` to
+keep everything as one lazy plan.
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +23,29 @@ from ledgerlens.operators.features import build_features
 from ledgerlens.sources.fixtures import transactions
 
 LAB = config.TARGET_COL
+_STAGES: dict[tuple[str, str, str], str] = {}
+
+
+def _materialize_enabled(spark: SparkSession) -> bool:
+    return str(spark.conf.get("ledgerlens.materialize", "true")).lower() != "false"
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write ``build()`` once per session/input as a Parquet stage and scan it afterwards."""
+    if not _materialize_enabled(spark):
+        return build()
+    from ledgerlens.session import scratch_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _STAGES.get(key)
+    if path is None:
+        path = scratch_dir(spark, f"stage-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _STAGES[key] = path
+    return spark.read.parquet(path)
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions(spark, sf_dir)
+    return stage(spark, sf_dir, "transactions", lambda: transactions(spark, sf_dir))
 
 
 def tx_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +53,7 @@ def tx_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_features(tx_split(spark, sf_dir))
+    return stage(spark, sf_dir, "features", lambda: build_features(tx_split(spark, sf_dir)))
 
 
 def train_balanced_from(feat: DataFrame, labels_src: DataFrame) -> DataFrame:
