@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import exact_mean, exact_sum, label_text
-from ledgerlens.operators.quantiles import DEFAULT_ACCURACY, exact_percentiles
+from ledgerlens.operators.quantiles import DEFAULT_ACCURACY, exact_percentiles, inverse_cdf_probs
 
 LAB = config.TARGET_COL
 
@@ -26,7 +26,7 @@ def class_distribution(tx: DataFrame) -> DataFrame:
 
 def amount_stats(tx: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     a = "Amount_Paid"
-    q = F.percentile_approx(a, [0.25, 0.5, 0.75], accuracy)
+    q = F.percentile_approx(a, inverse_cdf_probs([0.25, 0.5, 0.75]), accuracy)
     g = tx.groupBy(LAB).agg(exact_mean(a).alias("avg_amount"), F.min(a).alias("min_amount"),
                             F.max(a).alias("max_amount"), F.stddev_samp(a).alias("std_amount"), q.alias("_q"))
     return g.select(LAB, label_text(LAB).alias("label"),

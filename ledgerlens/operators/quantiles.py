@@ -21,12 +21,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 1_000_000
+# percentile_approx targets 1-based rank ceil(p * n); p = 0.55 is stored just above 0.55, so
+# 0.55 * 6000 rounds up to rank 3301.  A nudge far below the sketch error restores the
+# inverse-CDF rank ceil(p * n) for exact decimal p.
+PROB_NUDGE = 1e-12
+
+
+def inverse_cdf_probs(probs: list[float]) -> list[float]:
+    return [min(1.0, max(0.0, p - PROB_NUDGE)) if 0.0 < p < 1.0 else p for p in probs]
 
 
 def cut_points(df: DataFrame, value: str, probs: list[float], accuracy: int = DEFAULT_ACCURACY) -> list[float]:
     """Sorted, de-duplicated value cuts at ``probs`` (one aggregate; a few scalars reach the driver)."""
     clean = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    row = clean.agg(F.percentile_approx(value, probs, accuracy).alias("cuts")).first()
+    row = clean.agg(F.percentile_approx(value, inverse_cdf_probs(probs), accuracy).alias("cuts")).first()
     cuts = row["cuts"] if row is not None and row["cuts"] is not None else []
     return sorted(set(float(c) for c in cuts))
 

@@ -139,12 +139,15 @@ areas AS (
          SUM((fpr - prev_fpr) * (tpr + prev_tpr) / 2) AS roc_auc FROM pts
 )"""
 
-_probs = ", ".join(str(i / config.RBA_N_BUCKETS) for i in range(1, config.RBA_N_BUCKETS))
+# cut value at probability p: the row at 1-based rank ceil(p * n) (inverse CDF, integer arithmetic)
 BUCKET_CTE = f""",
-cuts AS (SELECT list_distinct(quantile_disc(Amount_Paid, [{_probs}])) AS c
-         FROM transactions WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid)),
-bucketed AS (SELECT 1 + len(list_filter(c, lambda q: q <= Amount_Paid)) AS bucket_id, Amount_Paid, Is_Laundering
-             FROM transactions, cuts WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid)),
+amt_ranked AS (SELECT Amount_Paid, ROW_NUMBER() OVER (ORDER BY Amount_Paid) AS rn, COUNT(*) OVER () AS n
+               FROM transactions WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid)),
+cut_rows AS (SELECT DISTINCT r.Amount_Paid AS c FROM amt_ranked r
+             JOIN (SELECT * FROM range(1, {config.RBA_N_BUCKETS}) v(i)) g
+               ON r.rn = (g.i * r.n + {config.RBA_N_BUCKETS - 1}) // {config.RBA_N_BUCKETS}),
+bucketed AS (SELECT 1 + (SELECT COUNT(*) FROM cut_rows WHERE c <= t.Amount_Paid) AS bucket_id, Amount_Paid, Is_Laundering
+             FROM transactions t WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid)),
 buckets AS (
   SELECT CAST(bucket_id AS INTEGER) AS bucket_id, MIN(Amount_Paid) AS bucket_min, MAX(Amount_Paid) AS bucket_max,
          COUNT(*) AS total_tx, CAST(SUM(Is_Laundering) AS BIGINT) AS fraud_tx,
@@ -314,9 +317,11 @@ SELECT Is_Laundering, {LABEL},
   round(CAST(SUM(CAST(Amount_Paid AS {DEC})) AS DOUBLE) / COUNT(Amount_Paid), 2) AS avg_amount,
   round(MIN(Amount_Paid), 2) AS min_amount, round(MAX(Amount_Paid), 2) AS max_amount,
   round(stddev_samp(Amount_Paid), 2) AS std_amount,
-  round(quantile_disc(Amount_Paid, 0.25), 2) AS q1_amount, round(quantile_disc(Amount_Paid, 0.5), 2) AS median_amount,
-  round(quantile_disc(Amount_Paid, 0.75), 2) AS q3_amount
-FROM transactions GROUP BY Is_Laundering""")
+  round(MAX(CASE WHEN rn = (n + 3) // 4 THEN Amount_Paid END), 2) AS q1_amount,
+  round(MAX(CASE WHEN rn = (n + 1) // 2 THEN Amount_Paid END), 2) AS median_amount,
+  round(MAX(CASE WHEN rn = (3 * n + 3) // 4 THEN Amount_Paid END), 2) AS q3_amount
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY Is_Laundering ORDER BY Amount_Paid) AS rn,
+             COUNT(Amount_Paid) OVER (PARTITION BY Is_Laundering) AS n FROM transactions) GROUP BY Is_Laundering""")
     q["payment_format_mix"] = _w(f"""
 SELECT Is_Laundering, {LABEL}, Payment_Format, COUNT(*) AS jumlah,
   round(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER (PARTITION BY Is_Laundering) AS DOUBLE), 2)
