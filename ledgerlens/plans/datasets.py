@@ -81,3 +81,20 @@ def fixture_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows scored by the table's deterministic score (no model needed)."""
     return test_rows(spark, sf_dir).select("tx_key", F.col(LAB).alias("y_true"), F.col("score").alias("y_prob"),
                                            "Amount_Paid")
+
+
+_MODELS: dict[tuple[str, str, str], str] = {}
+
+
+def fitted_model(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], object]):
+    """Fit once per session/input, persist with ``PipelineModel.save`` and load afterwards."""
+    from pyspark.ml import PipelineModel
+
+    from ledgerlens.session import scratch_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _MODELS.get(key)
+    if path is None:
+        path = scratch_dir(spark, f"model-{name}")
+        fit().write().overwrite().save(path)
+        _MODELS[key] = path
+    return PipelineModel.load(path)

@@ -202,6 +202,45 @@ def q_model_comparison_long(spark, sf):
     return report.comparison_long(q_model_comparison(spark, sf))
 
 
+# ---------------------------------------------------------------- models
+def _encoded_sets(spark, sf):
+    f = ds.features(spark, sf)
+    mapping = ds.encoder_mapping(spark, sf)
+    train = ds.train_balanced_from(f, ds.tx_split(spark, sf))
+    test = f.where(F.col("split") == "test")
+    return encode.transform_ordinal(train, mapping), encode.transform_ordinal(test, mapping)
+
+
+def q_assemble_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    from ledgerlens.operators import models
+    train, test = _encoded_sets(spark, sf)
+    rows = train.unionByName(test)
+    return models.assembler().transform(rows).select("tx_key", "split", LAB,
+                                                     vector_to_array("features").alias("features"))
+
+
+def _model(spark, sf, estimator_factory):
+    from ledgerlens.operators import models
+    train, _ = _encoded_sets(spark, sf)
+    return ds.fitted_model(spark, sf, estimator_factory,
+                           lambda: models.fit(train, getattr(models, estimator_factory)()))
+
+
+def _model_scores(estimator_factory):
+    def run(spark, sf):
+        from ledgerlens.operators import models
+        _, test = _encoded_sets(spark, sf)
+        return models.score(_model(spark, sf, estimator_factory), test)
+    return run
+
+
+def q_feature_importance(spark, sf):
+    from ledgerlens.operators import models
+    return models.feature_importance(_model(spark, sf, "boosted_b"))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_clean": q_ingest_clean,
     "class_distribution": _on_tx(explore.class_distribution),
@@ -244,4 +283,9 @@ QUERIES: dict[str, Query] = {
     "tier_segmentation": q_tier_segmentation,
     "model_comparison": q_model_comparison,
     "model_comparison_long": q_model_comparison_long,
+    "assemble_features": q_assemble_features,
+    "rf_scores": _model_scores("random_forest"),
+    "gbt_a_scores": _model_scores("boosted_a"),
+    "gbt_b_scores": _model_scores("boosted_b"),
+    "feature_importance": q_feature_importance,
 }
