@@ -34,6 +34,12 @@ EDA_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Content hash of the cleaned columns: a stable key for split and sampling."""
+    return df.withColumn("tx_key", F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                                             for c in df.columns]), 256))
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, out_dir: str, estimators: dict | None = None,
                  tuning_model: str = "gbt_a"):
@@ -53,11 +59,7 @@ class Pipeline:
 
     # S1-S3, P1-P6
     def cleaned(self, raw_path: str) -> DataFrame:
-        def build():
-            df = ingest.ingest(self.spark, raw_path)
-            return df.withColumn("tx_key", F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                                                     for c in df.columns]), 256))
-        return self._parquet_stage("cleaned", build)
+        return self._parquet_stage("cleaned", lambda: with_row_key(ingest.ingest(self.spark, raw_path)))
 
     # M1, J1-J6, A1-A6, M2
     def features(self, cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -27,3 +27,16 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
     before = os.path.getmtime(str(tmp_path / "out" / "cleaned" / "_SUCCESS"))
     pipe.run(raw)
     assert os.path.getmtime(str(tmp_path / "out" / "cleaned" / "_SUCCESS")) == before
+
+
+def test_stream_scores_new_files_with_batch_artifacts(spark, tmp_path):
+    from ledgerlens.streaming import scoring
+    raw = raw_csv.write_raw_csv(transactions(spark, SF), str(tmp_path / "raw"))
+    est = {"gbt_a": models.boosted_a(rounds=2, max_depth=3)}
+    out = str(tmp_path / "out")
+    Pipeline(spark, out, estimators=est, tuning_model="gbt_a").run(raw)
+    q = scoring.start(spark, raw, out, str(tmp_path / "alerts"), str(tmp_path / "ckpt"), model="gbt_a")
+    q.awaitTermination(300)
+    alerts = spark.read.parquet(str(tmp_path / "alerts"))
+    assert alerts.count() == spark.read.parquet(out + "/cleaned").count()
+    assert set(alerts.columns) >= {"tx_key", "y_prob", "tier", "y_pred_dynamic"}
