@@ -32,7 +32,11 @@ def fit_ordinal(train: DataFrame, columns: list[str] = config.CATEGORICAL_COLS)
 def transform_ordinal(df: DataFrame, mapping: DataFrame, columns: list[str] = config.CATEGORICAL_COLS,
                       max_broadcast: int = MAX_BROADCAST_CATEGORIES) -> DataFrame:
     """Replace each categorical column by its code (-1 when unseen)."""
-    small = mapping.limit(max_broadcast + 1).count() <= max_broadcast   # one bounded check
+    # computed once (checkpoint), one bounded row count, then a broadcast per column
+    from ledgerlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    mapping = mapping.checkpoint(eager=True)
+    small = mapping.limit(max_broadcast + 1).count() <= max_broadcast
     out = df
     for c in columns:
         m = mapping.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import f1_expr, safe_ratio
+from ledgerlens.functions.joins import bounded_broadcast
 from ledgerlens.operators.quantiles import bucketize, cut_points
 
 Y, P = "y_true", "y_prob"
@@ -100,7 +101,8 @@ def cumulative_from_top(hist: DataFrame) -> DataFrame:
                             F.coalesce(F.sum("_bn").over(above), F.lit(0)).alias("_on"))
     inside = Window.partitionBy("_blk").orderBy(F.desc(P)).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.select("*", F.sum("pos").over(inside).alias("_lp"), F.sum("neg").over(inside).alias("_ln"))
-    return (local.join(offsets, "_blk", "inner")
+    # offsets has at most N_BLOCKS rows by construction
+    return (local.join(bounded_broadcast(offsets), "_blk", "inner")
             .select(P, "pos", "neg", (F.col("_op") + F.col("_lp")).cast("long").alias("tp"),
                     (F.col("_on") + F.col("_ln")).cast("long").alias("fp")))
 

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.joins import small_side
+
 DEFAULT_ACCURACY = 1_000_000
 # percentile_approx targets 1-based rank ceil(p * n); p = 0.55 is stored just above 0.55, so
 # 0.55 * 6000 rounds up to rank 3301.  A nudge far below the sketch error restores the
@@ -79,7 +81,9 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols:
           for i, p in enumerate(probs)]
     hi = [F.when(small | (F.lit(p + eps) >= 1), F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
           for i, p in enumerate(probs)]
-    stats = stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi"))
+    # one row per group: computed once, broadcast after a size check (a shuffle join on a
+    # few group keys would hash all rows into a few partitions)
+    stats = small_side(stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi")))
 
     # pass 2: rows below each band (one aggregate) and rows inside a band (tagged by target)
     joined = src.join(stats, keys, "inner")
