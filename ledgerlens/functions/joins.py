@@ -24,7 +24,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = 100_000, with_flag: bool = False):
     """Compute a derived table once (reliable checkpoint in the shared folder), then size-check it.
 
     The checkpoint cuts the lineage so later plans do not recompute the
@@ -34,7 +34,9 @@ def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     from ledgerlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     done = df.checkpoint(eager=True)
-    return checked_broadcast(done, max_rows)
+    small = done.limit(max_rows + 1).count() <= max_rows
+    out = F.broadcast(done) if small else done
+    return (out, small) if with_flag else out
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

@@ -83,7 +83,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols:
           for i, p in enumerate(probs)]
     # one row per group: computed once, broadcast after a size check (a shuffle join on a
     # few group keys would hash all rows into a few partitions)
-    stats = small_side(stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi")))
+    stats, few_groups = small_side(stats.select(*keys, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi")),
+                                   with_flag=True)
 
     # pass 2: rows below each band (one aggregate) and rows inside a band (tagged by target)
     joined = src.join(stats, keys, "inner")
@@ -99,7 +100,10 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], group_cols:
     w = Window.partitionBy(*keys, "_i").orderBy("_v")
     ranked = band.select(*keys, "_i", "_v", (F.row_number().over(w) - 1).alias("_br"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
-    ranked = (ranked.join(below, keys, "inner").join(stats.select(*keys, "_n"), keys, "inner")
+    per_group = below.join(stats.select(*keys, "_n"), keys, "inner")   # one row per group
+    if few_groups:
+        per_group = F.broadcast(per_group)
+    ranked = (ranked.join(per_group, keys, "inner")
               .select(*keys, "_i", "_v", plist[F.col("_i")].alias("p"),
                       (F.col("_br") + F.col("_below")[F.col("_i")]).alias("_rank"),
                       (plist[F.col("_i")] * (F.col("_n") - 1)).alias("_pos")))
