@@ -85,6 +85,12 @@ def predict_at(threshold: Column | float) -> Column:
     return F.when(F.col(P) >= t, 1).otherwise(0)
 
 
+def positive_rate(pred: DataFrame) -> DataFrame:
+    """Share of positives: the precision of a random ranking (PR baseline)."""
+    return pred.agg(F.count(F.lit(1)).alias("n"), _pos(F.col(Y) == 1).alias("positives")).select(
+        "n", "positives", safe_ratio(F.col("positives"), F.col("n")).alias("baseline_precision"))
+
+
 # ---------------------------------------------------------------- curves
 def score_histogram(pred: DataFrame) -> DataFrame:
     y = F.col(Y) == 1

@@ -394,6 +394,14 @@ cc AS (SELECT (SELECT threshold FROM best) AS threshold,
   CAST(SUM(CASE WHEN y_true = 0 AND y_prob < (SELECT threshold FROM best) THEN 1 ELSE 0 END) AS BIGINT) AS true_negatives
   FROM pred)
 SELECT *, true_positives + false_positives AS alerts FROM cc"""
+    q["metrics_default"] = "WITH " + BASE + ",\n" + _confusion("(CASE WHEN y_prob >= 0.5 THEN 1 ELSE 0 END)") + \
+        " FROM pred)" + _metrics_select("tp0", "fp0", "fn0", "tn0")
+    q["metrics_tuned"] = "WITH " + BASE + SWEEP_CTE + ",\n" + _confusion(
+        "(CASE WHEN y_prob >= (SELECT threshold FROM best) THEN 1 ELSE 0 END)") + " FROM pred),\nmm AS (" + \
+        _metrics_select("tp0", "fp0", "fn0", "tn0") + ")\nSELECT (SELECT threshold FROM best) AS threshold, * FROM mm"
+    q["pr_baseline"] = _w("""
+SELECT n, positives, CASE WHEN n = 0 THEN 0.0 ELSE CAST(positives AS DOUBLE) / CAST(n AS DOUBLE) END AS baseline_precision
+FROM (SELECT COUNT(*) AS n, CAST(SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives FROM pred)""")
     q["pr_curve"] = "WITH " + BASE + CURVE_CTE + """
 SELECT threshold, precision, recall FROM pts UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0"""
     q["roc_curve"] = "WITH " + BASE + CURVE_CTE + """

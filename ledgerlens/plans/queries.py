@@ -130,6 +130,20 @@ def q_confusion_tuned(spark, sf):
                     (F.col("true_positives") + F.col("false_positives")).alias("alerts"))
 
 
+def q_metrics_default(spark, sf):
+    return ev.with_metrics(ev.confusion(_pred(spark, sf), ev.predict_at(config.DEFAULT_THRESHOLD)))
+
+
+def q_metrics_tuned(spark, sf):
+    p = _pred(spark, sf)
+    t = ev.best_static_threshold(ev.sweep(p)).select("threshold").scalar()
+    return ev.with_metrics(ev.confusion(p, ev.predict_at(t))).select(t.alias("threshold"), "*")
+
+
+def q_pr_baseline(spark, sf):
+    return ev.positive_rate(_pred(spark, sf))
+
+
 def q_pr_curve(spark, sf):
     return ev.pr_curve(_pred(spark, sf))
 
@@ -271,6 +285,9 @@ QUERIES: dict[str, Query] = {
     "threshold_sweep": q_threshold_sweep,
     "best_static_threshold": q_best_static_threshold,
     "confusion_tuned": q_confusion_tuned,
+    "metrics_default": q_metrics_default,
+    "metrics_tuned": q_metrics_tuned,
+    "pr_baseline": q_pr_baseline,
     "pr_curve": q_pr_curve,
     "roc_curve": q_roc_curve,
     "pr_auc": q_pr_auc,
