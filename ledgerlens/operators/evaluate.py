@@ -35,8 +35,13 @@ def _pos(c: Column) -> Column:
 
 
 def confusion(pred: DataFrame, predicted: Column, group_cols: list[str] | None = None) -> DataFrame:
-    """tp, fp, fn, tn (and n) for a 0/1 prediction column."""
-    y, yhat = F.col(Y) == 1, predicted == 1
+    """tp, fp, fn, tn for a 0/1 prediction column.
+
+    The prediction is projected before the aggregate, so it may hold scalar
+    subqueries (a tuned threshold) over non-deterministic plans.
+    """
+    pred = pred.withColumn("_yhat", predicted)
+    y, yhat = F.col(Y) == 1, F.col("_yhat") == 1
     return pred.groupBy(*(group_cols or [])).agg(
         _pos(y & yhat).alias("true_positives"), _pos(~y & yhat).alias("false_positives"),
         _pos(y & ~yhat).alias("false_negatives"), _pos(~y & ~yhat).alias("true_negatives"))

@@ -255,6 +255,24 @@ def q_feature_importance(spark, sf):
     return models.feature_importance(_model(spark, sf, "boosted_b"))
 
 
+def q_model_comparison_trained(spark, sf):
+    """Comparison over the trained models, as the source pipeline reports it: tiers are tuned on
+    the leaf-wise booster's test scores and reused for the depth-wise one; the forest gets none."""
+    from functools import reduce
+
+    from ledgerlens.operators import models, report
+    _, test = _encoded_sets(spark, sf)
+    bounds = _boundaries(spark, sf)
+    preds = {name: models.score(_model(spark, sf, factory), test)
+             for name, factory in (("random_forest", "random_forest"), ("gbt_a", "boosted_a"),
+                                   ("gbt_b", "boosted_b"))}
+    tier_table = tiers.tier_thresholds(tiers.with_tier(preds["gbt_a"], bounds))
+    rows = [report.model_comparison(preds["random_forest"], "random_forest"),
+            report.model_comparison(preds["gbt_a"], "gbt_a", tier_table, bounds),
+            report.model_comparison(preds["gbt_b"], "gbt_b", tier_table, bounds)]
+    return reduce(DataFrame.unionByName, rows)
+
+
 QUERIES: dict[str, Query] = {
     "ingest_clean": q_ingest_clean,
     "class_distribution": _on_tx(explore.class_distribution),
@@ -305,4 +323,5 @@ QUERIES: dict[str, Query] = {
     "gbt_a_scores": _model_scores("boosted_a"),
     "gbt_b_scores": _model_scores("boosted_b"),
     "feature_importance": q_feature_importance,
+    "model_comparison_trained": q_model_comparison_trained,
 }
