@@ -439,4 +439,7 @@ WHERE Threshold_Type IN ('Tuned (Static)', 'RBA (Dynamic)')"""
     q["ingest_clean"] = _w(f"""
 SELECT CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS tx_date, strftime("Timestamp", '%H:%M') AS tx_time, {CLEAN_OUT}
 FROM transactions""")
+    for name in ("class_distribution", "amount_stats", "payment_format_mix", "daily_timeline", "top_senders",
+                 "hourly_distribution"):
+        q["sql_" + name] = q[name]      # the Spark SQL form answers the same question
     return q

@@ -273,6 +273,13 @@ def q_model_comparison_trained(spark, sf):
     return reduce(DataFrame.unionByName, rows)
 
 
+def _sql(name):
+    def run(spark, sf):
+        from ledgerlens.plans import sql_views
+        return sql_views.run(spark, ds.tx(spark, sf), name)
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "ingest_clean": q_ingest_clean,
     "class_distribution": _on_tx(explore.class_distribution),
@@ -324,4 +331,10 @@ QUERIES: dict[str, Query] = {
     "gbt_b_scores": _model_scores("boosted_b"),
     "feature_importance": q_feature_importance,
     "model_comparison_trained": q_model_comparison_trained,
+    "sql_class_distribution": _sql("class_distribution"),
+    "sql_amount_stats": _sql("amount_stats"),
+    "sql_payment_format_mix": _sql("payment_format_mix"),
+    "sql_daily_timeline": _sql("daily_timeline"),
+    "sql_top_senders": _sql("top_senders"),
+    "sql_hourly_distribution": _sql("hourly_distribution"),
 }

@@ -54,3 +54,33 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Suggested settings for a large cluster run (applied by whoever builds the session).
+
+    * initial shuffle partitions sized so each holds ~2x the advisory size
+      before AQE coalesces them (100 TB of input -> ~200k, capped at 100k);
+    * scan splits of 512 MB; AQE skew-join splitting for hot accounts on the
+      fact side of the feature joins; broadcast threshold kept modest (the
+      code broadcasts derived tables itself, after a size check);
+    * graceful decommission so shuffle and cached blocks migrate when an
+      executor is lost or reclaimed.
+    """
+    parts = max(200, min(100_000, input_bytes // (2 * advisory_mb * 1024 * 1024)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+    }
