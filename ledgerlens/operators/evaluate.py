@@ -140,22 +140,33 @@ def curve_points(pred: DataFrame) -> DataFrame:
 
 
 def pr_curve(pred: DataFrame) -> DataFrame:
-    pts = curve_points(pred).select("threshold", "precision", "recall")
-    anchor = pred.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
-                                               F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return pr_curve_from(curve_points(pred))
+
+
+def pr_curve_from(points: DataFrame) -> DataFrame:
+    pts = points.select("threshold", "precision", "recall")
+    anchor = points.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
+                                                 F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(anchor)
 
 
 def roc_curve(pred: DataFrame) -> DataFrame:
-    pts = curve_points(pred).select("threshold", "fpr", "tpr")
-    anchor = pred.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
-                                               F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return roc_curve_from(curve_points(pred))
+
+
+def roc_curve_from(points: DataFrame) -> DataFrame:
+    pts = points.select("threshold", "fpr", "tpr")
+    anchor = points.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
+                                                 F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(anchor)
 
 
 def curve_areas(pred: DataFrame) -> DataFrame:
     """One row: pr_auc and roc_auc (trapezoid rule over the full curves)."""
-    pts = curve_points(pred)
+    return curve_areas_from(curve_points(pred))
+
+
+def curve_areas_from(points: DataFrame) -> DataFrame:
     pr = (F.col("recall") - F.col("_prev_recall")) * (F.col("precision") + F.col("_prev_precision")) / 2
     roc = (F.col("fpr") - F.col("_prev_fpr")) * (F.col("tpr") + F.col("_prev_tpr")) / 2
-    return pts.agg(F.sum(pr).alias("pr_auc"), F.sum(roc).alias("roc_auc"))
+    return points.agg(F.sum(pr).alias("pr_auc"), F.sum(roc).alias("roc_auc"))

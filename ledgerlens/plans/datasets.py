@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlens import config
 from ledgerlens.operators import encode, split
 from ledgerlens.operators.features import build_features
+from ledgerlens.sources import sinks
 from ledgerlens.sources.fixtures import transactions
 
 LAB = config.TARGET_COL
@@ -39,11 +40,33 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     path = _STAGES.get(key)
     if path is None:
         path = scratch_dir(spark, f"stage-{name}")
-        build().write.mode("overwrite").parquet(path)
+        sinks.write_parquet(build(), path)
         _STAGES[key] = path
     return spark.read.parquet(path)
 
 
+_SMALL: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def small_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A small derived table (bucket rates, tier boundaries, tier thresholds) computed once per
+    session/input: reliable ``checkpoint()`` into the shared folder, reused by every later plan.
+
+    These tables are a few rows, but each one costs a pass (and a quantile sketch) over a
+    large input; recomputing them for every report would repeat that pass.
+    """
+    if not _materialize_enabled(spark):
+        return build()
+    from ledgerlens.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    df = _SMALL.get(key)
+    if df is None:
+        ensure_checkpoint_dir(spark)
+        df = build().checkpoint(eager=True)
+        _SMALL[key] = df
+    return df
+
+
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, sf_dir, "transactions", lambda: transactions(spark, sf_dir))
 

@@ -31,7 +31,7 @@ def _date_str() -> F.Column:
 # ---------------------------------------------------------------- ingest / split
 def q_ingest_clean(spark, sf):
     from ledgerlens.sources import raw_csv
-    return raw_csv.ingest_roundtrip(spark, sf).select(_date_str(), F.date_format("Timestamp", "HH:mm").alias("tx_time"),
+    return raw_csv.ingest_roundtrip(spark, sf, ds.tx(spark, sf)).select(_date_str(), F.date_format("Timestamp", "HH:mm").alias("tx_time"),
                                                       *CLEAN_OUT)
 
 
@@ -144,33 +144,52 @@ def q_pr_baseline(spark, sf):
     return ev.positive_rate(_pred(spark, sf))
 
 
+def _curve_points(spark, sf):
+    """Curve table of the fixture scores (one row per distinct score), staged once."""
+    return ds.stage(spark, sf, "curve_points", lambda: ev.curve_points(_pred(spark, sf)))
+
+
+def _areas(spark, sf):
+    return ds.small_table(spark, sf, "curve_areas", lambda: ev.curve_areas_from(_curve_points(spark, sf)))
+
+
 def q_pr_curve(spark, sf):
-    return ev.pr_curve(_pred(spark, sf))
+    return ev.pr_curve_from(_curve_points(spark, sf))
 
 
 def q_roc_curve(spark, sf):
-    return ev.roc_curve(_pred(spark, sf))
+    return ev.roc_curve_from(_curve_points(spark, sf))
 
 
 def q_pr_auc(spark, sf):
-    return ev.curve_areas(_pred(spark, sf)).select(F.round("pr_auc", 10).alias("pr_auc"))
+    return _areas(spark, sf).select(F.round("pr_auc", 10).alias("pr_auc"))
 
 
 def q_roc_auc(spark, sf):
-    return ev.curve_areas(_pred(spark, sf)).select(F.round("roc_auc", 10).alias("roc_auc"))
+    return _areas(spark, sf).select(F.round("roc_auc", 10).alias("roc_auc"))
 
 
 # ---------------------------------------------------------------- risk tiers
+# The bucket table (a quantile sketch over every transaction), the boundaries and the
+# per-tier thresholds are small stage outputs: each is computed once and reused.
+def _buckets(spark, sf):
+    return ds.small_table(spark, sf, "amount_buckets", lambda: tiers.amount_buckets(ds.tx(spark, sf)))
+
+
 def _boundaries(spark, sf):
-    return tiers.tier_boundaries(tiers.amount_buckets(ds.tx(spark, sf)))
+    return ds.small_table(spark, sf, "rba_boundaries", lambda: tiers.tier_boundaries(_buckets(spark, sf)))
 
 
 def _tiered_pred(spark, sf):
     return tiers.with_tier(_pred(spark, sf), _boundaries(spark, sf))
 
 
+def _tier_table(spark, sf):
+    return ds.small_table(spark, sf, "rba_tier_config", lambda: tiers.tier_thresholds(_tiered_pred(spark, sf)))
+
+
 def q_amount_buckets(spark, sf):
-    return tiers.amount_buckets(ds.tx(spark, sf))
+    return _buckets(spark, sf)
 
 
 def q_rba_boundaries(spark, sf):
@@ -178,37 +197,32 @@ def q_rba_boundaries(spark, sf):
 
 
 def q_bucket_tiers(spark, sf):
-    b = tiers.amount_buckets(ds.tx(spark, sf))
-    return tiers.bucket_tiers(b, tiers.tier_boundaries(b))
+    return tiers.bucket_tiers(_buckets(spark, sf), _boundaries(spark, sf))
 
 
 def q_rba_tier_thresholds(spark, sf):
-    return tiers.tier_thresholds(_tiered_pred(spark, sf))
+    return _tier_table(spark, sf)
 
 
 def q_rba_apply(spark, sf):
-    tp = _tiered_pred(spark, sf)
-    return tiers.apply_tiers(tp, tiers.tier_thresholds(tp)).select("tx_key", "tier", "y_pred_dynamic")
+    return tiers.apply_tiers(_tiered_pred(spark, sf), _tier_table(spark, sf)).select("tx_key", "tier",
+                                                                                     "y_pred_dynamic")
 
 
 def q_rba_metrics(spark, sf):
-    tp = _tiered_pred(spark, sf)
-    applied = tiers.apply_tiers(tp, tiers.tier_thresholds(tp))
+    applied = tiers.apply_tiers(_tiered_pred(spark, sf), _tier_table(spark, sf))
     return ev.with_metrics(ev.confusion(applied, F.col("y_pred_dynamic")))
 
 
 def q_tier_segmentation(spark, sf):
-    t = ds.tx(spark, sf)
-    b = tiers.tier_boundaries(tiers.amount_buckets(t))
-    return (tiers.with_tier(t, b).where(F.col("tier").isNotNull())
+    return (tiers.with_tier(ds.tx(spark, sf), _boundaries(spark, sf)).where(F.col("tier").isNotNull())
             .groupBy("tier", LAB).agg(F.count(F.lit(1)).alias("jumlah")))
 
 
 def q_model_comparison(spark, sf):
     from ledgerlens.operators import report
-    p = _pred(spark, sf)
-    return report.model_comparison(p, "fixture_score", tier_table=tiers.tier_thresholds(_tiered_pred(spark, sf)),
-                                   boundaries=_boundaries(spark, sf))
+    return report.model_comparison(_pred(spark, sf), "fixture_score", tier_table=_tier_table(spark, sf),
+                                   boundaries=_boundaries(spark, sf), areas=_areas(spark, sf))
 
 
 def q_model_comparison_long(spark, sf):

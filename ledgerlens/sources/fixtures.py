@@ -49,7 +49,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("o_orderkey", "o_custkey", "o_orderpriority", "c_nationkey", "c_region"))
     payee = (supp.join(nr.withColumnRenamed("r_name", "s_region"), F.col("s_nationkey") == nr.n_nationkey)
              .select("s_suppkey", "s_nationkey", "s_region"))
-    j = (li.join(payer, li.l_orderkey == payer.o_orderkey)
+    # line items x orders is fact x fact: neither side has a size bound, so it is a sort-merge
+    # join by declaration.  Without the hint the static planner sizes the joined payer side as
+    # the product of its inputs and broadcasts the line-item scan itself at small scale.
+    j = (li.join(payer.hint("merge"), li.l_orderkey == payer.o_orderkey)
          .join(payee, li.l_suppkey == payee.s_suppkey))
 
     k = (F.col("l_orderkey") * 7 + F.col("l_partkey") * 3

@@ -37,7 +37,9 @@ def write_raw_csv(clean_tx: DataFrame, path: str) -> str:
     return path
 
 
-def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the derived transactions as raw CSV (shared scratch folder), then ingest them."""
-    path = write_raw_csv(transactions(spark, sf_dir), scratch_dir(spark, "raw-csv"))
+def ingest_roundtrip(spark: SparkSession, sf_dir: str, clean_tx: DataFrame | None = None) -> DataFrame:
+    """Write the derived transactions (``clean_tx``, default: built from ``sf_dir``) as raw CSV in
+    the shared scratch folder, then ingest them."""
+    src = transactions(spark, sf_dir) if clean_tx is None else clean_tx
+    path = write_raw_csv(src, scratch_dir(spark, "raw-csv"))
     return ingest.ingest(spark, path)
