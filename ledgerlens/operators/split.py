@@ -19,12 +19,20 @@ TWO_POW_32 = 4294967296.0
 DOWNSAMPLE_SALT = "ds"
 
 
+def assign_split(tx: DataFrame, key: str = "tx_key", train_percent: int = config.TRAIN_PERCENT) -> DataFrame:
+    """Add ``split`` ('train'/'test') to every row (a pure function of the row key)."""
+    return tx.withColumn("split", F.when(hash_percent(key) < train_percent, F.lit("train"))
+                                   .otherwise(F.lit("test")))
+
+
+def labelled(tx: DataFrame) -> DataFrame:
+    """Rows whose label is 0 or 1 (others take part in neither split)."""
+    return tx.where(F.col(config.TARGET_COL).isin(0, 1))
+
+
 def with_split(tx: DataFrame, key: str = "tx_key", train_percent: int = config.TRAIN_PERCENT) -> DataFrame:
     """Add ``split`` ('train'/'test'); rows whose label is not 0/1 are dropped."""
-    lab = F.col(config.TARGET_COL)
-    return (tx.where(lab.isin(0, 1))
-              .withColumn("split", F.when(hash_percent(key) < train_percent, F.lit("train"))
-                                    .otherwise(F.lit("test"))))
+    return assign_split(labelled(tx), key, train_percent)
 
 
 def split_counts(tx_split: DataFrame) -> DataFrame:
