@@ -82,14 +82,42 @@ def account_profile(train: DataFrame, side: Side) -> DataFrame:
 
 def side_lookup(fact: DataFrame, train: DataFrame, side: Side) -> DataFrame:
     """One row per distinct (account, day) of ``fact`` with all features of the side."""
-    keys = (with_date(fact).select(side.account, "Date")
+    return side_lookup_from(fact, velocity_24h(train, side), account_profile(train, side), side)
+
+
+def _keys(fact: DataFrame, side: Side) -> DataFrame:
+    return (with_date(fact).select(side.account, "Date")
             .where(F.col(side.account).isNotNull()).distinct())
-    vel = velocity_24h(train, side)
-    prof = account_profile(train, side)
+
+
+def side_lookup_from(fact: DataFrame, vel: DataFrame, prof: DataFrame, side: Side,
+                     max_keys: int | None = None) -> DataFrame:
+    """``side_lookup`` over already-built velocity and profile tables (e.g. staged ones).
+
+    With ``max_keys`` (a small fact frame such as a micro-batch), the fact's keys are computed
+    once and, when there are at most ``max_keys`` of them, broadcast into semi-joins that cut
+    the large lookup tables down to the batch's accounts without shuffling them.
+    """
+    keys = _keys(fact, side)
+    if max_keys is not None:
+        from ledgerlens.functions.joins import small_side
+        keys, small = small_side(keys, max_keys, with_flag=True)
+        if small:
+            vel = vel.join(keys, [side.account, "Date"], "left_semi")
+            prof = prof.join(F.broadcast(keys.select(side.account).distinct()), side.account, "left_semi")
     return (keys.join(vel, [side.account, "Date"], "left")
                 .join(prof, side.account, "left"))
 
 
+def lookup_tables(train: DataFrame) -> dict[str, DataFrame]:
+    """The four fitted lookup tables, by name (``sender_velocity``, ``sender_profile``, ...)."""
+    out = {}
+    for name, side in (("sender", SENDER), ("receiver", RECEIVER)):
+        out[f"{name}_velocity"] = velocity_24h(train, side)
+        out[f"{name}_profile"] = account_profile(train, side)
+    return out
+
+
 def _attach(fact: DataFrame, lookup: DataFrame, side: Side) -> DataFrame:
     lk = lookup.withColumnRenamed(side.account, "_lk_acct").withColumnRenamed("Date", "_lk_date")
     cond = (fact[side.account] == lk["_lk_acct"]) & fact["Date"].eqNullSafe(lk["_lk_date"])
@@ -104,9 +132,15 @@ def build_features(tx_split: DataFrame, train: DataFrame | None = None) -> DataF
     """
     if train is None:
         train = tx_split.where(F.col("split") == "train")
-    fact = with_date(tx_split)
-    for side in (SENDER, RECEIVER):
-        fact = _attach(fact, side_lookup(tx_split, train, side), side)
+    return build_features_from(tx_split, lookup_tables(train))
+
+
+def build_features_from(rows: DataFrame, tables: dict[str, DataFrame], max_keys: int | None = None) -> DataFrame:
+    """Add the ten features to ``rows`` from fitted lookup tables (see :func:`lookup_tables`)."""
+    fact = with_date(rows)
+    for name, side in (("sender", SENDER), ("receiver", RECEIVER)):
+        lk = side_lookup_from(rows, tables[f"{name}_velocity"], tables[f"{name}_profile"], side, max_keys)
+        fact = _attach(fact, lk, side)
     fills = {c: 0 for c in FEATURE_COLUMNS}
     fills.update({c: 0.0 for c in ("sender_amount_sum_24h", "receiver_amount_sum_24h",
                                     "sender_avg_amount", "receiver_avg_amount")})

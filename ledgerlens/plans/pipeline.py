@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.operators import encode, evaluate as ev, explore, models, report, split, tiers
-from ledgerlens.operators.features import build_features
+from ledgerlens.operators.features import build_features_from, lookup_tables
 from ledgerlens.sources import ingest, sinks
 
 EDA_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -64,12 +64,19 @@ class Pipeline:
     # M1, J1-J6, A1-A6, M2
     def features(self, cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
         s = split.with_split(cleaned)
-        feat = self._parquet_stage("features", lambda: build_features(s), ["split"])
+        lookups = self.lookups(s.where(F.col("split") == "train"))
+        feat = self._parquet_stage("features", lambda: build_features_from(s, lookups), ["split"])
         train = feat.where(F.col("split") == "train")
         balanced = self._parquet_stage(
             "train_balanced_raw", lambda: split.downsample(train, fraction_source=train.select(config.TARGET_COL)))
         return balanced, feat.where(F.col("split") == "test")
 
+    def lookups(self, train: DataFrame) -> dict[str, DataFrame]:
+        """The fitted per-account lookup tables, staged once: the batch features and every
+        streaming micro-batch join against them instead of re-aggregating the train rows."""
+        tables = lookup_tables(train)
+        return {name: self._parquet_stage(f"lookups/{name}", lambda df=df: df) for name, df in tables.items()}
+
     # M3-M5
     def encoded(self, balanced: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
         mapping = self._parquet_stage("encoder", lambda: encode.fit_ordinal(balanced))

@@ -1,9 +1,9 @@
 """Score newly arriving raw transaction files with the staged batch artifacts.
 
 The source pipeline is batch only.  This module re-runs its "apply" half,
-the part that treats test rows, on each micro-batch of new files:
-lookups fitted on the staged training rows, the stored encoder, a stored
-model, then the tier boundaries and thresholds.  It introduces no new
+the part that treats test rows, on each micro-batch of new files: the
+staged lookup tables fitted on the training rows, the stored encoder, a
+stored model, then the tier boundaries and thresholds.  It introduces no new
 operator; Structured Streaming only supplies incremental file discovery
 and exactly-once bookkeeping (checkpointLocation + idempotent per-batch
 output folders).
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens import config
 from ledgerlens.operators import encode, models, tiers
-from ledgerlens.operators.features import build_features
+from ledgerlens.operators.features import build_features_from
 from ledgerlens.plans.pipeline import with_row_key
 from ledgerlens.sources import ingest
 
@@ -30,11 +30,19 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: in
     return with_row_key(ingest.clean(named))
 
 
-def score_batch(spark: SparkSession, batch: DataFrame, pipeline_out: str, model: str) -> DataFrame:
+# a micro-batch's distinct (account, day) keys are broadcast into semi-joins up to this count
+MAX_BATCH_KEYS = 2_000_000
+LOOKUPS = ("sender_velocity", "sender_profile", "receiver_velocity", "receiver_profile")
+
+
+def score_batch(spark: SparkSession, batch: DataFrame, pipeline_out: str, model: str,
+                max_keys: int = MAX_BATCH_KEYS) -> DataFrame:
+    """Score one micro-batch.  Its work grows with the batch, not with the training history:
+    the staged lookup tables are cut down to the batch's accounts by broadcast semi-joins."""
     out = pipeline_out.rstrip("/")
-    train = spark.read.parquet(f"{out}/features").where(F.col("split") == "train")
     rows = batch.withColumn("split", F.lit("test"))
-    feats = build_features(rows, train=train.select(*rows.columns))
+    tables = {name: spark.read.parquet(f"{out}/lookups/{name}") for name in LOOKUPS}
+    feats = build_features_from(rows, tables, max_keys=max_keys)
     enc = encode.transform_ordinal(feats, spark.read.parquet(f"{out}/encoder"))
     pred = models.score(PipelineModel.load(f"{out}/models/{model}"), enc)
     bounds = tiers.tier_boundaries(spark.read.json(f"{out}/eda/fraud_rate_by_bucket"))

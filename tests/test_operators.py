@@ -246,3 +246,19 @@ def test_class_weight_without_positives(spark):
     df = spark.createDataFrame([(0,), (0,)], "Is_Laundering int")
     r = explore.class_weight(df).first()
     assert r["positives"] == 0 and r["scale_pos_weight"] is None
+
+
+def test_lookup_from_staged_tables_with_key_reduction_matches_plain(spark):
+    """A small batch joined to fitted lookup tables (semi-join reduced) gets the same features."""
+    from ledgerlens.operators.features import build_features_from, lookup_tables
+    from ledgerlens.plans import datasets as ds
+    s = ds.tx_split(spark, "/root/testdata/sf0.001")
+    train = s.where(F.col("split") == "train")
+    batch = s.where(F.col("split") == "test")
+    tables = {k: v.checkpoint(eager=True) for k, v in lookup_tables(train).items()}
+    plain = build_features(batch, train=train)
+    reduced = build_features_from(batch, tables, max_keys=100_000)
+    cols = sorted(plain.columns)
+    assert sorted(reduced.columns) == cols
+    assert plain.select(cols).exceptAll(reduced.select(cols)).count() == 0
+    assert reduced.select(cols).exceptAll(plain.select(cols)).count() == 0
