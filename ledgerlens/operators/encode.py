@@ -9,8 +9,6 @@ joined back with a size-checked broadcast (shuffle join beyond the bound).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +19,15 @@ MAX_BROADCAST_CATEGORIES = 1_000_000
 
 
 def fit_ordinal(train: DataFrame, columns: list[str] = config.CATEGORICAL_COLS) -> DataFrame:
-    """Mapping table (column, value, code), codes as double."""
-    parts = [train.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).distinct()
-             for c in columns]
-    values = reduce(DataFrame.unionByName, parts)
+    """Mapping table (column, value, code), codes as double.
+
+    One scan: each row yields its (column, value) pairs, and a single distinct (map-side
+    partial, so a task ships each category once) collects the categories of every column.
+    The rank window then sees one row per category, never the training rows.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for c in columns])
+    values = train.select(F.inline(pairs)).distinct()
     w = Window.partitionBy("column").orderBy(F.asc_nulls_last("value"))
     return values.select("column", "value", (F.dense_rank().over(w) - 1).cast("double").alias("code"))
 

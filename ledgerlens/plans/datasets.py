@@ -92,11 +92,13 @@ def train_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoder_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoder fitted on the balanced train rows (row choice needs only key and label)."""
-    s = tx_split(spark, sf_dir)
-    train = s.where(F.col("split") == "train")
-    balanced_rows = split.downsample(train, fraction_source=train)
-    return encode.fit_ordinal(balanced_rows)
+    """Encoder fitted on the balanced train rows (row choice needs only key and label); a stage
+    output, fitted once per session."""
+    def fit():
+        s = tx_split(spark, sf_dir)
+        train = s.where(F.col("split") == "train")
+        return encode.fit_ordinal(split.downsample(train, fraction_source=train))
+    return small_table(spark, sf_dir, "encoder", fit)
 
 
 def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
