@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerlens import config
 from ledgerlens.functions.columns import f1_expr, safe_ratio
 from ledgerlens.functions.joins import bounded_broadcast
-from ledgerlens.operators.quantiles import bucketize, cut_points
+from ledgerlens.operators.quantiles import bucketize, sketch_cuts
 
 Y, P = "y_true", "y_prob"
 N_BLOCKS = 1000
@@ -105,7 +105,7 @@ def score_histogram(pred: DataFrame) -> DataFrame:
 def cumulative_from_top(hist: DataFrame) -> DataFrame:
     """Add ``tp``/``fp``: positives/negatives with score >= this score."""
     probs = [i / N_BLOCKS for i in range(1, N_BLOCKS)]
-    blocked = bucketize(hist, P, cut_points(hist, P, probs, 10 * N_BLOCKS), "_blk")
+    blocked = bucketize(hist, P, sketch_cuts(hist, P, probs, 10 * N_BLOCKS), "_blk")
     totals = blocked.groupBy("_blk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.orderBy(F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_blk", F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_op"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import exact_mean, exact_sum, label_text
-from ledgerlens.operators.quantiles import DEFAULT_ACCURACY, exact_percentiles, inverse_cdf_probs
+from ledgerlens.operators.quantiles import exact_percentiles, exact_quantiles_disc
 
 LAB = config.TARGET_COL
 
@@ -24,16 +24,25 @@ def class_distribution(tx: DataFrame) -> DataFrame:
                     F.round(F.col("jumlah").cast("double") * 100.0 / total, 4).alias("persentase"))
 
 
-def amount_stats(tx: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def amount_stats(tx: DataFrame) -> DataFrame:
+    """Per class: mean (exact decimal sum), min, max, sample stddev and the inverse-CDF quartiles.
+
+    The quartiles are exact order statistics (``exact_quantiles_disc``: bucketed counts, no
+    sketch); both sides of the final join hold one row per class.
+    """
     a = "Amount_Paid"
-    q = F.percentile_approx(a, inverse_cdf_probs([0.25, 0.5, 0.75]), accuracy)
     g = tx.groupBy(LAB).agg(exact_mean(a).alias("avg_amount"), F.min(a).alias("min_amount"),
-                            F.max(a).alias("max_amount"), F.stddev_samp(a).alias("std_amount"), q.alias("_q"))
-    return g.select(LAB, label_text(LAB).alias("label"),
+                            F.max(a).alias("max_amount"), F.stddev_samp(a).alias("std_amount"))
+    probs = [0.25, 0.5, 0.75]
+    q = exact_quantiles_disc(tx, a, probs, [LAB])
+    qw = q.groupBy(F.col(LAB).alias("_lab")).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"_q{i}")
+                                                   for i, p in enumerate(probs)])
+    j = g.join(F.broadcast(qw), g[LAB].eqNullSafe(qw["_lab"]), "left")   # one row per class
+    return j.select(LAB, label_text(LAB).alias("label"),
                     F.round("avg_amount", 2).alias("avg_amount"), F.round("min_amount", 2).alias("min_amount"),
                     F.round("max_amount", 2).alias("max_amount"), F.round("std_amount", 2).alias("std_amount"),
-                    F.round(F.col("_q")[0], 2).alias("q1_amount"), F.round(F.col("_q")[1], 2).alias("median_amount"),
-                    F.round(F.col("_q")[2], 2).alias("q3_amount"))
+                    F.round("_q0", 2).alias("q1_amount"), F.round("_q1", 2).alias("median_amount"),
+                    F.round("_q2", 2).alias("q3_amount"))
 
 
 def payment_format_mix(tx: DataFrame) -> DataFrame:

@@ -262,3 +262,22 @@ def test_lookup_from_staged_tables_with_key_reduction_matches_plain(spark):
     assert sorted(reduced.columns) == cols
     assert plain.select(cols).exceptAll(reduced.select(cols)).count() == 0
     assert reduced.select(cols).exceptAll(plain.select(cols)).count() == 0
+
+
+def test_exact_quantiles_disc_brute_force_with_hot_value_and_signs(spark):
+    """Inverse-CDF quantiles (rank ceil(p*n)) against sorting; a third of the rows share one value."""
+    import math
+
+    from ledgerlens.operators.quantiles import exact_quantiles_disc
+    rnd = random.Random(11)
+    vals = [(1, rnd.uniform(-1e6, 1e6)) for _ in range(6000)] + [(1, 42.0)] * 3000 + [(1, 0.0)] * 10
+    vals += [(2, rnd.lognormvariate(0, 4)) for _ in range(500)] + [(2, -0.0), (2, float("inf")), (2, -1e-300)]
+    vals += [(None, 7.0), (None, 3.0), (3, 5.5)]
+    df = spark.createDataFrame(vals, "g int, v double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.55, 0.75, 0.95, 1.0]
+    got = {(r["g"], r["p"]): r["value"] for r in exact_quantiles_disc(df, "v", probs, ["g"]).collect()}
+    for g in (1, 2, None, 3):
+        arr = sorted(v for gg, v in vals if gg == g)
+        for p in probs:
+            rank = max(1, math.ceil(p * len(arr) - 1e-9))
+            assert got[(g, p)] == arr[rank - 1], (g, p)
