@@ -11,7 +11,8 @@ sketch and without ranking rows:
 2. Only rows in those buckets are counted again, per 65,536 equal-width
    sub-buckets of the bucket's [min, max].
 3. Only rows in the selected sub-buckets are counted per distinct value, and
-   the value whose cumulative count covers the rank is picked.
+   the value whose cumulative count covers the rank is picked.  This pass is
+   skipped when every selected sub-bucket holds a single value.
 
 Every pass is a grouped count with a map-side partial step, so a value held
 by a third of all rows collapses to one (value, count) row per task and no
@@ -87,15 +88,21 @@ def _select_ranks(src: DataFrame, ranks_of_n, n_targets: int) -> DataFrame:
                                    F.lit(SUB_BUCKETS - 1))).otherwise(F.lit(0)).cast("bigint")
     rows2 = b1.join(F.broadcast(buckets1) if small1 else buckets1, ["_k", "_b1"], "inner") \
               .select("_k", "_b1", "_v", sub.alias("_b2"))
-    l2 = rows2.groupBy("_k", "_b1", "_b2").agg(F.count(F.lit(1)).alias("_c2"))
+    l2 = rows2.groupBy("_k", "_b1", "_b2").agg(F.count(F.lit(1)).alias("_c2"), F.min("_v").alias("_mn"),
+                                                F.max("_v").alias("_mx"))
     before2 = Window.partitionBy("_k", "_b1").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
     l2 = l2.select("*", F.coalesce(F.sum("_c2").over(before2), F.lit(0)).alias("_base2"))
     r = F.col("_ranks")[F.col("_t")] - F.col("_base")
     sel2 = (l2.join(sel1.select("_k", "_b1", "_base", "_ranks", "_t", "_n"), ["_k", "_b1"], "inner")
             .where((r >= F.col("_base2")) & (r < F.col("_base2") + F.col("_c2")))
-            .select("_k", "_b1", "_b2", "_t", "_n",
+            .select("_k", "_b1", "_b2", "_t", "_n", "_mn", "_mx",
                     (F.col("_ranks")[F.col("_t")] - F.col("_base") - F.col("_base2")).alias("_r")))
     sel2, small2 = small_side(sel2, MAX_BROADCAST_TARGETS, with_flag=True)
+    # a sub-bucket holding one distinct value answers its targets directly (cent amounts: a
+    # sub-bucket is narrower than a cent); the third pass runs only when some selected
+    # sub-bucket still holds several values (one bounded count on the checkpointed table)
+    if sel2.where(F.col("_mn") < F.col("_mx")).limit(1).count() == 0:
+        return sel2.select("_k", "_t", F.col("_mn").alias("_v"), "_n")
 
     # pass 3: distinct values of the selected sub-buckets with their counts
     buckets2 = sel2.select("_k", "_b1", "_b2").distinct()

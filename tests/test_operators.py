@@ -281,3 +281,20 @@ def test_exact_quantiles_disc_brute_force_with_hot_value_and_signs(spark):
         for p in probs:
             rank = max(1, math.ceil(p * len(arr) - 1e-9))
             assert got[(g, p)] == arr[rank - 1], (g, p)
+
+
+def test_exact_quantiles_third_pass_for_packed_values(spark):
+    """Distinct values packed into one sub-bucket (spacing far below bucket width / 65536)."""
+    import math
+
+    from ledgerlens.operators.quantiles import exact_quantiles_disc
+    vals = [1000.0 + i * 1e-9 for i in range(800)] + [1020.0] * 5 + [1000.0] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.1, 0.33, 0.5, 0.9, 0.999]
+    got = {r["p"]: r["value"] for r in exact_quantiles_disc(df, "v", probs).collect()}
+    arr = sorted(vals)
+    for p in probs:
+        assert got[p] == arr[max(1, math.ceil(p * len(arr) - 1e-9)) - 1], p
+    pct = {r["p"]: r["value"] for r in exact_percentiles(df, "v", probs).collect()}
+    for p in probs:
+        assert pct[p] == pytest.approx(float(np.percentile(np.array(arr), p * 100)), rel=1e-15), p
