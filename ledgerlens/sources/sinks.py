@@ -33,11 +33,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_json(df: DataFrame, path: str) -> str:
-    """Small result tables: one file per table."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Small result tables: one file per table.
+
+    ``repartition(1)`` (an exchange of the few result rows), not ``coalesce(1)``: a coalesce
+    has no exchange of its own and would pull the stage that produces the table, such as the
+    final merge of an aggregate, into a single task.
+    """
+    df.repartition(1).write.mode("overwrite").json(path)
     return path
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Small result table as one CSV file with a header (see :func:`write_json`)."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
