@@ -37,7 +37,8 @@ def amount_stats(tx: DataFrame) -> DataFrame:
     q = exact_quantiles_disc(tx, a, probs, [LAB])
     qw = q.groupBy(F.col(LAB).alias("_lab")).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"_q{i}")
                                                    for i, p in enumerate(probs)])
-    j = g.join(F.broadcast(qw), g[LAB].eqNullSafe(qw["_lab"]), "left")   # one row per class
+    # one row per class on both sides; AQE picks the join from their actual sizes
+    j = g.join(qw, g[LAB].eqNullSafe(qw["_lab"]), "left")
     return j.select(LAB, label_text(LAB).alias("label"),
                     F.round("avg_amount", 2).alias("avg_amount"), F.round("min_amount", 2).alias("min_amount"),
                     F.round("max_amount", 2).alias("max_amount"), F.round("std_amount", 2).alias("std_amount"),
