@@ -298,3 +298,11 @@ def test_exact_quantiles_third_pass_for_packed_values(spark):
     pct = {r["p"]: r["value"] for r in exact_percentiles(df, "v", probs).collect()}
     for p in probs:
         assert pct[p] == pytest.approx(float(np.percentile(np.array(arr), p * 100)), rel=1e-15), p
+
+
+def test_fact_join_is_never_a_broadcast_of_the_line_items(spark):
+    """Line items x orders stays a sort-merge join (the static size estimate would broadcast the scan)."""
+    from ledgerlens.sources.fixtures import transactions
+    plan = transactions(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [l_orderkey" in plan
+    assert "BroadcastHashJoin [l_orderkey" not in plan
