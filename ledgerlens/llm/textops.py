@@ -85,16 +85,18 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _lower[buf]
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = ~_is_sep
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first): spans of the words, and the index of each document's first word.
 
     offsets: where documents start, and the end.  ``first`` has one entry more than documents.
+    in_word: for each of the 256 bytes, whether it belongs to a word.
     """
     n = len(buf)
     if not n:
         z = np.zeros(0, dtype=np.int64)
         return z, z, np.zeros(len(offsets), dtype=np.int64)
-    word = ~_is_sep[buf]
+    word = in_word[buf]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     ends = word.copy()
