@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import license_scan, ngram_join, quality_rules, secret_scan
+from ledgerlens.llm import fingerprints, license_scan, ngram_join, quality_rules, secret_scan
 from ledgerlens.llm.common import documents
 
 
@@ -26,9 +26,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.document_licenses(documents(spark, sf_dir))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
 }
