@@ -6,14 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import fingerprints, license_scan, ngram_join, quality_rules, secret_scan
+from ledgerlens.llm import bpe, fingerprints, license_scan, ngram_join, quality_rules, secret_scan
 from ledgerlens.llm.common import documents
 
+#: Where the public tokenizer files are; never copied here.
+TOKENIZER_FILE = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_documents(documents(spark, sf_dir), tokenizer_path())
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.document_secrets(documents(spark, sf_dir))
 
@@ -32,6 +45,7 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_bpe": op4_bpe,
     "op6_secret_scan": op6_secret_scan,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
