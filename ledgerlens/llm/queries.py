@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, fingerprints, license_scan, ngram_join, quality_rules, secret_scan
+from ledgerlens.llm import bpe, fingerprints, license_scan, mixing, ngram_join, quality_rules, secret_scan
 from ledgerlens.llm.common import documents
 
 #: Where the public tokenizer files are; never copied here.
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_mix(documents(spark, sf_dir))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_to_weights": op1_mix_to_weights,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_bpe": op4_bpe,
     "op6_secret_scan": op6_secret_scan,
