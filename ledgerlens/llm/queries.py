@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, fingerprints, license_scan, mixing, ngram_join, quality_rules, secret_scan
+from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan
 from ledgerlens.llm.common import documents
 
 #: Where the public tokenizer files are; never copied here.
@@ -27,6 +27,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.document_lines(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(documents(spark, sf_dir), tokenizer_path())
 
@@ -50,6 +54,7 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
     "op6_secret_scan": op6_secret_scan,
     "op8_document_fingerprints": op8_document_fingerprints,
