@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan
+from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup
 from ledgerlens.llm.common import documents
 
 #: Where the public tokenizer files are; never copied here.
@@ -35,6 +35,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.document_repeats(documents(spark, sf_dir))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.document_secrets(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
