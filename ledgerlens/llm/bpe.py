@@ -28,22 +28,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textops as T
-from ledgerlens.llm.common import bucket_count, ship_code, stored, text_bytes
+from ledgerlens.llm.common import ship_code, stored, text_bytes
 
 #: Mean bytes of a chunk: a cut where this many low values of the rolling hash coincide.
 CHUNK_BITS = 10
 WINDOW_BYTES = 16
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
+#: Compression of what is shuffled: texts and ids.
+LEVEL = 6
 #: Words whose ids a worker remembers; the store starts anew beyond it.
 MEMO_WORDS = 300_000
 
 _SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("chunk", pa.binary()), ("length", pa.binary()),
                    ("bytes", pa.binary())])
 _ANSWER = pa.schema([("slice", pa.int64()), ("chunk", pa.binary()), ("length", pa.binary()), ("ids", pa.binary())])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()),
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.binary()), ("decoded_sha256", pa.binary()),
                   ("seams", pa.int64()), ("again", pa.string())])
-_OUT_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, seams long, again string"
+_OUT_DDL = "doc_id long, n_tokens long, ids_sha256 binary, decoded_sha256 binary, seams long, again string"
 
 
 @lru_cache(maxsize=2)
@@ -141,7 +143,7 @@ def _layout(buf: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarr
 def _sender(n_buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 24
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
             for rows, buf, offsets in T.cut_slices(batch, "text", SLICE_BYTES):
                 at += 1
@@ -168,7 +170,7 @@ def _encoder(path: str):
     """One bucket: encodes every distinct chunk once; a slice's own facts pass through."""
 
     def answer(table: pa.Table) -> pa.Table:
-        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
         rows = table.drop_columns(["bucket"]).to_pylist()
         number: dict[bytes, int] = {}
         wanted = []
@@ -220,9 +222,9 @@ def decode(path: str, ids: np.ndarray) -> str:
     return " ".join(map(table.__getitem__, ids.tolist()))
 
 
-def _digests(path: str, packed: bytes) -> tuple[int, str, str]:
+def _digests(path: str, packed: bytes) -> tuple[int, bytes, bytes]:
     ids = np.frombuffer(packed, _id_type(path))
-    return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decode(path, ids).encode()).hexdigest())
+    return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).digest(), hashlib.sha256(decode(path, ids).encode()).digest())
 
 
 def _assembler(path: str):
@@ -293,14 +295,18 @@ def encoded_documents(docs: DataFrame, path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     ship_code(spark)
-    n_buckets = bucket_count(spark, text_bytes(docs), BUCKET_BYTES)
+    # one bucket a partition: many small ones would compress worse, and chunks are dealt evenly
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // BUCKET_BYTES))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     sent = rows.mapInArrow(_sender(n_buckets), "bucket int, slice long, chunk binary, length binary, bytes binary")
     answers = sent.groupBy("bucket").applyInArrow(_encoder(path), "slice long, chunk binary, length binary, ids binary")
     out = stored(answers.groupBy("slice").applyInArrow(_assembler(path), _OUT_DDL), "encoded")
-    done = out.where("again is null").drop("again")
+    def shown(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", "n_tokens", *[F.lower(F.hex(c)).alias(c) for c in ("ids_sha256", "decoded_sha256")], "seams")
+
+    done = shown(out.where("again is null"))
     again = out.where("again is not null").select(F.col("doc_id").alias("again_id")).distinct()
     if again.isEmpty():
         return done
-    retried = rows.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_semi").mapInArrow(_whole(path), _OUT_DDL).drop("again")
-    return done.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_anti").unionByName(retried)
+    retried = rows.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_semi").mapInArrow(_whole(path), _OUT_DDL)
+    return done.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_anti").unionByName(shown(retried))
