@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textops as T
-from ledgerlens.llm.common import ship_code, stored
+from ledgerlens.llm.common import ship_code
 
 #: Cells of the published fingerprint, in three sub-tables; each retry has GROWTH times as many.
 CELLS = 24
@@ -171,44 +170,51 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha2
                   ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 _OUT_DDL = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
             "near_edited double, near_next double")
-_CHAIN = pa.schema([*_OUT, ("pid", pa.int64()), ("edge", pa.int32()), ("text", pa.string())])
+_DEALT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("k1", pa.int64()), ("k2", pa.int64()), ("part", pa.int32()), ("ahead", pa.bool_())])
 
 
-def _rows(ids: list, columns: tuple[list, ...]) -> list:
-    return [pa.array(c, f.type) for c, f in zip((ids, *columns), _OUT)]
+def _rows(ids: list, columns: tuple[list, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, *columns), _OUT)], schema=_OUT)
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted partition: compares each row with the next; its ends go out as edges 1 (first) and 2 (last)."""
-    pid = TaskContext.get().partitionId()
-    before: tuple | None = None
+def part_of(k1: np.ndarray, k2: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The last bound (first keys of the parts, in order) that is not above each key."""
+    low = np.searchsorted(bounds["k1"], k1, side="left")
+    high = np.searchsorted(bounds["k1"], k1, side="right")
+    part = high - 1
+    for i in np.flatnonzero(high > low).tolist():  # ids on a bound: the text's hash decides
+        part[i] = low[i] + np.searchsorted(bounds["k2"][low[i]:high[i]], k2[i], side="right") - 1
+    return part
+
+
+def _dealer(bounds: np.ndarray):
+    """Rows with their part; a part's first row also goes, ahead, to the part before it (the first to the last)."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
+            part = part_of(k1, k2, bounds)
+            first = np.flatnonzero((bounds["k1"][part] == k1) & (bounds["k2"][part] == k2))
+            for rows, parts, ahead in ((batch, part, False), (batch.take(pa.array(first)), (part[first] - 1) % len(bounds), True)):
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(parts.astype(np.int32)), pa.array([ahead] * len(parts), pa.bool_())], schema=_DEALT)
 
-    def edge(kind: int, doc_id, text: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{"doc_id": doc_id, "pid": pid, "edge": kind, "text": text}], schema=_CHAIN)
+    return deal
 
+
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted parts, one after another: compares each row with the next one of its part."""
+    before: tuple | None = None
     for batch in batches:
         for rows, _, _ in T.cut_slices(batch, "text"):
-            ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").fill_null("").to_pylist()
-            if before is None:
-                yield edge(1, ids[0], texts[0])
-                ids_now, texts_now = ids[:-1], texts
-            else:
-                ids_now, texts_now = [before[0], *ids[:-1]], [before[1], *texts]
-            before = (ids[-1], texts[-1])
-            if ids_now:
-                n = len(ids_now)
-                out = _rows(ids_now, compare(texts_now[:-1], texts_now[1:]))
-                yield pa.RecordBatch.from_arrays([*out, pa.array([pid] * n), pa.array([0] * n, pa.int32()), pa.nulls(n, pa.string())], schema=_CHAIN)
-    if before is not None:
-        yield edge(2, *before)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            yield pa.RecordBatch.from_arrays(
-                _rows(row.column("doc_id").to_pylist(), compare(row.column("text").to_pylist(), row.column("following").to_pylist())), schema=_OUT)
+            texts = rows.column("text").fill_null("").to_pylist()
+            new = list(zip(rows.column("part").to_pylist(), rows.column("ahead").to_pylist(), rows.column("doc_id").to_pylist(), texts))
+            every = [before, *new] if before is not None else new
+            pairs = [(x, y) for x, y in zip(every, every[1:]) if x[0] == y[0] and not x[1]]
+            if pairs:
+                yield _rows([x[2] for x, _ in pairs], compare([x[3] for x, _ in pairs], [y[3] for _, y in pairs]))
+            before = every[-1]
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -216,19 +222,21 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
 
     Next is the next row by doc_id (nulls first; equal ids by a hash of the text), after the last
     the first; the edited text has its last floor(n/2) code points replaced by the next document's
-    first ones.  The table is range-partitioned, each partition is read once in order, and only
-    the first and last row of a partition meet across partitions.  A null text is empty; an empty
+    first ones.  Texts are shuffled once, to parts of neighbouring keys that are read in order; only
+    the first row of a part is sent to two.  A null text is empty; an empty
     text has no pieces and is like another empty one (1) and unlike any other (0).
     """
     spark = docs.sparkSession
     ship_code(spark)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    chained = stored(ordered.mapInArrow(_chain, _OUT_DDL + ", pid long, edge int, text string"), "chain")
-    parts = sorted(r["pid"] for r in chained.where("edge = 1").select("pid").collect())  # at most one for each partition
-    after = spark.createDataFrame([(a, b) for a, b in zip(parts, parts[1:] + parts[:1])], "pid long, next_pid long")
-    firsts = chained.where("edge = 1").select(F.col("pid").alias("next_pid"), F.col("text").alias("following"))
-    lasts = chained.where("edge = 2").select("doc_id", "text", "pid")
-    seams = lasts.join(after, "pid").join(firsts, "next_pid").select("doc_id", "text", "following").mapInArrow(_pairs, _OUT_DDL)
-    return chained.where("edge = 0").select(*_OUT.names).unionByName(seams)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"))
+    # the keys alone are range-partitioned first: each non-empty range's least key bounds a part
+    keys = rows.select("k1", "k2").repartitionByRange("k1", "k2").withColumn("range", F.spark_partition_id())
+    found = keys.groupBy("range").agg(F.min(F.struct("k1", "k2")).alias("least")).select("least.*").collect()  # one row a range
+    bounds = np.array(sorted((r["k1"], r["k2"]) for r in found), dtype=[("k1", "<i8"), ("k2", "<i8")])
+    if not len(bounds):
+        return spark.createDataFrame([], _OUT_DDL)
+    dealt = rows.mapInArrow(_dealer(bounds), "doc_id long, text string, k1 long, k2 long, part int, ahead boolean")
+    ordered = dealt.repartition(len(bounds), "part").sortWithinPartitions("part", "ahead", "k1", "k2")
+    return ordered.select("doc_id", "text", "part", "ahead").mapInArrow(_chain, _OUT_DDL)
