@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup
+from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, passage_dedup, quality_rules, secret_scan, suffix_dedup
 from ledgerlens.llm.common import documents
 
 #: Where the public tokenizer files are; never copied here.
@@ -51,6 +51,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.document_licenses(documents(spark, sf_dir))
 
 
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(documents(spark, sf_dir))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_secret_scan": op6_secret_scan,
+    "op7_passage_dedup": op7_passage_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
