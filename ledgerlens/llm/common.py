@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a stored table of short rows is broadcast, after counting it; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
 

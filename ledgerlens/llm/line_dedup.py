@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import small, stored
 
 MAX_EDITS = 2
 #: Shorter lines stay: two edits would join lines that have little in common.
@@ -65,12 +65,6 @@ def distinct_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 #: Letters whose counts are compared before texts are: fixed values, frequent in many languages.
 SIGNATURE_LETTERS = ("etaonris", "hldcumfp", "gwybvké ")
-#: Rows up to which a derived table is broadcast, after counting it; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _let(value: Column, body) -> Column:
@@ -156,10 +150,9 @@ def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     keys = lines.select("h1", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("k")).select("h1", "k.key", "k.own")
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("owned"))
                     .where("owned and low <> high").select("key"), "shared_keys")
-    n_shared = shared.count()
-    active = stored(keys.join(_small(shared, n_shared), "key").distinct(), "active")
+    active = stored(keys.join(small(shared), "key").distinct(), "active")
     ids = stored(active.select("h1").distinct(), "active_ids")
-    texts = stored(lines.join(_small(ids, ids.count()), "h1").select("h1", "line", "n", letter_counts(F.col("line")).alias("sig")), "active_lines")
+    texts = stored(lines.join(small(ids), "h1").select("h1", "line", "n", letter_counts(F.col("line")).alias("sig")), "active_lines")
     rows = active.join(texts.select("h1", "sig"), "h1")
     near = (F.expr("x.key = y.key and x.h1 <> y.h1 and (not y.own or x.h1 < y.h1)")
             & (letters_apart(F.col("x.sig"), F.col("y.sig")) <= 2 * edits))
@@ -216,18 +209,19 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
 
     A row that had words and has none left goes as a whole.  Untouched rows stay as they are.
     """
-    found = stored(removed_lines(docs, edits).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"),
-                                                                                F.col("removed").alias("_removed")), "removed")
-    text = F.coalesce(docs["text"], F.lit(""))
-    keyed = docs.withColumn("_key", F.xxhash64(text))
-    joined = keyed.join(_small(found, found.count()), keyed["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_version")), "left")
+    found = stored(removed_lines(docs, edits).where(F.size("removed") > 0).select("doc_id", "version", "removed"), "removed")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("version", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    found = small(found)
+    joined = rows.join(found, F.col("row.doc_id").cast("long").eqNullSafe(found["doc_id"]) & (rows["version"] == found["version"]), "left")
 
     def kept(lines: Column) -> Column:
-        index = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
+        index = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
         return F.array_join(F.transform(index, lambda i: F.get(lines, i)), "\n")
 
-    shorter = joined.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(_let(F.split("text", "\n"), kept)))
-    shorter = shorter.where(F.col("_removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    shorter = joined.select("row", F.when(F.col("removed").isNotNull(), _let(F.split("row.text", "\n"), kept)).alias("left"))
+    shorter = shorter.where(F.col("left").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    changed = F.col("row").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
-        shorter = shorter.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return shorter.select(*docs.columns)
+        changed = changed.withField("n_chars", F.char_length("left").cast(docs.schema["n_chars"].dataType))
+    return shorter.select(F.when(F.col("left").isNull(), F.col("row")).otherwise(changed).alias("row")).select("row.*")

@@ -24,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textops as T
-from ledgerlens.llm.common import bucket_count, ship_code, stored, text_bytes
+from ledgerlens.llm.common import bucket_count, ship_code, small, stored, text_bytes
 from ledgerlens.llm.components import connected_components
 
 #: Similarity of at least 75 / 100, on shingles of five words.
@@ -41,9 +41,9 @@ _SENT = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("rows", pa.bi
                    ("meta", pa.binary())])
 _ANSWER = pa.schema([("slice", pa.int64()), ("rows", pa.binary()), ("hashes", pa.binary()), ("freq", pa.binary()),
                      ("meta", pa.binary())])
-_SETS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()),
+_SETS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()),
                    ("d2", pa.int64()), ("unshared", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-_META = np.dtype([("doc_id", "<i8"), ("null", "<i8"), ("n", "<i8"), ("d1", "<u8"), ("d2", "<u8")])
+_META = np.dtype([("doc_id", "<i8"), ("null", "<i8"), ("version", "<i8"), ("n", "<i8"), ("d1", "<u8"), ("d2", "<u8")])
 
 
 def _pack48(h: np.ndarray) -> bytes:
@@ -71,6 +71,7 @@ def _sender(k: int, n_buckets: int):
                 ids = rows.column("doc_id")
                 meta["null"] = ids.is_null().to_numpy(zero_copy_only=False)
                 meta["doc_id"] = ids.fill_null(0).to_numpy()
+                meta["version"] = rows.column("version").to_numpy()
                 meta["n"] = np.bincount(doc, minlength=rows.num_rows)
                 sums = np.zeros(len(h) + 1, dtype=np.uint64)
                 ends = np.cumsum(meta["n"])
@@ -139,7 +140,7 @@ def _assembler(pct: int):
         tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep]))
         rid = (table.column("slice")[0].as_py() << 16) + np.arange(len(meta))
         return pa.Table.from_arrays(
-            [pa.array(rid), pa.array(meta["doc_id"], mask=meta["null"] != 0), pa.array(meta["n"]),
+            [pa.array(rid), pa.array(meta["doc_id"], mask=meta["null"] != 0), pa.array(meta["version"]), pa.array(meta["n"]),
              pa.array(meta["d1"].astype(np.int64)), pa.array(meta["d2"].astype(np.int64)), pa.array(unshared), tokens],
             schema=_SETS)
 
@@ -154,7 +155,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def shingle_sets(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
-    """A row for each document: rid, doc_id, n (set size), d1 and d2 (digest), unshared, tokens.
+    """A row for each document: rid, doc_id, version (hash of the text), n (set size), d1 and d2 (digest), unshared, tokens.
 
     tokens: the shingles that other documents have as well, rarest first, where the prefix holds
     any; else empty.  Stored, so that later steps read it more than once.
@@ -162,7 +163,8 @@ def shingle_sets(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_P
     spark = docs.sparkSession
     ship_code(spark)
     n_buckets = min(1 << 16, bucket_count(spark, text_bytes(docs) // 6, BUCKET_SHINGLES))
-    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sender(k, n_buckets), _ddl(_SENT))
+    version = F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")
+    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", version).mapInArrow(_sender(k, n_buckets), _ddl(_SENT))
     answers = sent.groupBy("bucket").applyInArrow(_count, _ddl(_ANSWER))
     return stored(answers.groupBy("slice").applyInArrow(_assembler(pct), _ddl(_SETS)), "sets")
 
@@ -176,7 +178,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
             .where(common * (100 + pct) >= pct * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
-def _may_match(pct: int) -> F.Column:
+def _may_match(pct: int) -> Column:
     """Size and position filter on postings x and y of one shingle: what is left can still suffice."""
     need = F.ceil(F.lit(pct) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + pct))
     return (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= need)
@@ -186,8 +188,8 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b")).distinct()
 
 
-def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (columns doc_id and text are read).
+def linked_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
+    """doc_id, version (hash of the text), n_shingles, component_id for every row of ``docs`` (columns doc_id and text are read).
 
     Two documents link when 100 * |A and B| >= pct * |A or B| on their sets of distinct k-word
     shingles (words split at ASCII white space, A-Z lower-cased; a text of 1 to k-1 words has its
@@ -240,7 +242,36 @@ def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESH
              .select("n", "d1", "d2", "first_id", F.coalesce("component", "rep").alias("component")))
     ids = found.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = stored(found.join(ids, "component").select("n", "d1", "d2", "component_id"), "classes")
-    rows = sets.select("doc_id", "n", "d1", "d2", (F.size("tokens") > 0).alias("live"))
-    joined = rows.where("live").join(classes, ["n", "d1", "d2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("not live").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return joined.unionByName(alone)
+    rows = sets.select("doc_id", "version", "n", "d1", "d2", (F.size("tokens") > 0).alias("live"))
+    columns = ["doc_id", "version", F.col("n").alias("n_shingles")]
+    joined = rows.where("live").join(classes, ["n", "d1", "d2"]).select(*columns, "component_id")
+    return joined.unionByName(rows.where("not live").select(*columns, F.col("doc_id").alias("component_id")))
+
+
+def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
+    """doc_id, n_shingles, component_id: ``linked_documents`` without the texts' hashes."""
+    return linked_documents(docs, k, pct).drop("version")
+
+
+def keep_one_of_each_group(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
+    """The rows of ``docs`` of which no earlier near copy exists, with their columns as they are.
+
+    Of each group of linked documents the one with the smallest doc_id stays; of rows that repeat
+    doc_id and text, one.  Rows with one doc_id and different texts are versions of one document
+    and are judged each by its own links.
+    """
+    linked = stored(linked_documents(docs, k, pct), "linked")
+    gone = stored(linked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "version").distinct(), "gone")
+    repeated = stored(linked.groupBy("doc_id", "version").agg(F.count("*").alias("m")).where("m > 1").select("doc_id", "version"), "repeated")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("version", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+
+    def same(keys: DataFrame) -> Column:
+        return F.col("row.doc_id").cast("long").eqNullSafe(keys["doc_id"]) & (rows["version"] == keys["version"])
+
+    kept = rows.join(small(gone), same(gone), "left_anti")
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    many = small(repeated)
+    once = kept.join(many, same(repeated), "left_semi").groupBy("row.doc_id", "version").agg(F.first("row").alias("row"))
+    return kept.join(many, same(repeated), "left_anti").select("row.*").unionByName(once.select("row.*"))
