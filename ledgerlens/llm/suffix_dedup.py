@@ -32,9 +32,9 @@ from ledgerlens.llm.common import bucket_count, ship_code, stored, text_bytes
 
 LENGTH = 100
 K = 32
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Text behind a bucket, about; anchors and their surroundings are a fraction of it.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 HOT = 20_000
 _POS_BITS = 28
 
@@ -87,8 +87,8 @@ def sliding_least(v: np.ndarray, w: int) -> np.ndarray:
     blocks[:n] = v
     blocks = blocks.reshape(-1, w)
     forward = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(backward[:n - w + 1], forward[w - 1:n])
+    np.minimum.accumulate(blocks[:, ::-1], axis=1, out=blocks[:, ::-1])  # the blocks themselves, backwards
+    return np.minimum(blocks.reshape(-1)[:n - w + 1], forward[w - 1:n])
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -98,6 +98,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return none.astype(np.uint64), none, none, none
     sums = T.prefix_sums(buf)
     h = T.mix((sums[K:] - sums[:-K]) * T._inverse_powers(len(sums))[:len(sums) - K])
+    del sums
     at = np.uint64((1 << _POS_BITS) - 1)
     out = []
     for piece in range(0, len(h), 1 << (_POS_BITS - 1)):  # places of a very long document are numbered in pieces
@@ -124,10 +125,16 @@ def _by_bucket(h: np.ndarray, n_buckets: int) -> tuple[np.ndarray, list[tuple[in
     return order, [(int(bucket[i]), int(i), int(j)) for i, j in zip(cuts, np.r_[cuts[1:], len(bucket)])]
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one: a slice's bytes are copied when it is their turn."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _send_anchors(n_buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 _, buf, offsets = _open(row["facts"], row["bytes"])
                 h = anchors(buf, offsets)[0]
                 order, runs = _by_bucket(h, n_buckets)
@@ -265,13 +272,13 @@ class SuffixArray:
         values, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
         twin = counts[inverse] > 1  # others occur once: they are in no interval
         item, place = item[twin], place[twin]
-        words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(self.buf, 8)).view(">u8").reshape(-1).astype(np.uint64)
+        del h, values, inverse, counts, twin, sums
         steps = [*range(0, LENGTH - 8, 8), LENGTH - 8]
-        columns = [words[place + s] for s in steps]
+        columns = [self.words(place + s) for s in steps]
         order = np.lexsort(columns[::-1])
         equal = np.ones(max(len(order) - 1, 0), bool)
-        for c in columns:
-            c = c[order]
+        while columns:
+            c = columns.pop()[order]
             equal &= c[1:] == c[:-1]
         self.item, self.place = item[order], place[order]
         self.begins = np.r_[True, ~equal] if len(order) else np.zeros(0, bool)
@@ -283,6 +290,14 @@ class SuffixArray:
         at_edge = self.place == begin[self.item]
         self.before = np.where(at_edge, context["before"].astype(np.int64)[self.item], self.buf[np.maximum(self.place - 1, 0)].astype(np.int64))
 
+    def words(self, at: np.ndarray) -> np.ndarray:
+        """The eight bytes from each place on as a number, the first byte highest."""
+        out = np.zeros(len(at), np.uint64)
+        for j in range(8):
+            out <<= np.uint64(8)
+            out |= self.buf[at + j]
+        return out
+
     def later(self) -> np.ndarray:
         """Whether a suffix's interval has an earlier occurrence."""
         if not len(self.order):
