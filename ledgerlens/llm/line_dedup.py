@@ -54,13 +54,10 @@ def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column
     return F.filter(F.array(*keys), lambda x: x["key"].isNotNull())
 
 
-def distinct_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(places, lines): every long-enough line's place and digest, and each distinct line once, with its first place."""
-    rows = docs.select("rid", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.char_length("line") >= MIN_CHARS)
-    rows = rows.select("rid", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-    lines = stored(rows.groupBy("h1", "h2").agg(F.min(F.struct("rid", "line_no")).alias("first"), F.min("line").alias("line"))
-                   .withColumn("n", F.char_length("line")), "lines")
-    return rows.drop("line"), lines
+def long_lines(docs: DataFrame) -> DataFrame:
+    """rid, line_no, line, n, h1, h2: every line of MIN_CHARS characters with its place and its digest."""
+    rows = docs.select("rid", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("n", F.char_length("line"))
+    return rows.where(F.col("n") >= MIN_CHARS).select("rid", "line_no", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 #: Letters whose counts are compared before texts are: fixed values, frequent in many languages.
@@ -144,15 +141,17 @@ def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
 def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """(a, b): pairs of distinct lines, by their h1, within ``edits`` of each other.
 
-    lines: h1, line, n.  Keys that only one line has are dropped by a partial aggregation before
-    anything is joined, so a text meets another one only if they share a segment.
+    lines: h1, line, n; repeats are allowed.  Only keys are shuffled, and those that one line alone
+    has are dropped by a partial aggregation before anything is joined; texts are read again for
+    the few lines that share a segment with another.
     """
     keys = lines.select("h1", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("k")).select("h1", "k.key", "k.own")
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("owned"))
                     .where("owned and low <> high").select("key"), "shared_keys")
     active = stored(keys.join(small(shared), "key").distinct(), "active")
     ids = stored(active.select("h1").distinct(), "active_ids")
-    texts = stored(lines.join(small(ids), "h1").select("h1", "line", "n", letter_counts(F.col("line")).alias("sig")), "active_lines")
+    texts = stored(lines.select("h1", "line", "n").join(small(ids), "h1").groupBy("h1").agg(F.first("line").alias("line"), F.first("n").alias("n"))
+                   .withColumn("sig", letter_counts(F.col("line"))), "active_lines")
     rows = active.join(texts.select("h1", "sig"), "h1")
     near = (F.expr("x.key = y.key and x.h1 <> y.h1 and (not y.own or x.h1 < y.h1)")
             & (letters_apart(F.col("x.sig"), F.col("y.sig")) <= 2 * edits))
@@ -174,16 +173,17 @@ def removed_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """
     rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")).alias("rid"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    places, lines = distinct_lines(rows)
+    lines = long_lines(rows)
     pairs = near_pairs(lines, edits)
-    first = lines.select("h1", "first")
+    first = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("rid", "line_no")).alias("first")).select("h1", "first"), "first_places")
     a, b = first.select(F.col("h1").alias("a"), F.col("first").alias("fa")), first.select(F.col("h1").alias("b"), F.col("first").alias("fb"))
     later = pairs.join(a, "a").join(b, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
     verdict = first.join(later.withColumn("near", F.lit(True)), "h1", "left")
     gone = F.col("near").isNotNull() | (F.struct("rid", "line_no") != F.col("first"))
-    judged = places.select("rid", "line_no", "h1").distinct().join(verdict, "h1")
-    return judged.groupBy("rid").agg(F.count("*").alias("n_lines"), F.count(F.when(F.col("near").isNotNull(), 1)).alias("n_near"),
-                                     F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed")).select("rid.*", "n_lines", "n_near", "removed")
+    judged = lines.select("rid", "line_no", "h1").join(verdict, "h1")
+    count = judged.groupBy("rid").agg(F.collect_set("line_no").alias("all"), F.collect_set(F.when(F.col("near").isNotNull(), F.col("line_no"))).alias("near"),
+                                      F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))  # sets: repeated rows are one
+    return count.select("rid.*", F.size("all").alias("n_lines"), F.size("near").alias("n_near"), "removed")
 
 
 def document_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
