@@ -13,6 +13,8 @@ RAW_HEADER = [
     "Amount Received", "Receiving Currency", "Amount Paid",
     "Payment Currency", "Payment Format", "Is Laundering",
 ]
+# The repeated name as some readers write it.
+ACCOUNT_SPELLINGS = ("Account", "Account.1", "Account_1")
 # Clean name for each raw position (same order as RAW_HEADER).
 CLEAN_NAMES = [
     "Timestamp", "From_Bank", "From_Account", "To_Bank", "To_Account",
@@ -26,7 +28,6 @@ TARGET_COL = "Is_Laundering"
 CATEGORICAL_COLS = [
     "Payment_Format", "Receiving_Currency", "Payment_Currency", "From_Bank", "To_Bank",
 ]
-ID_COLS = ["From_Account", "To_Account", "Timestamp"]
 # Model inputs in physical table order (the order the feature table is built in).
 MODEL_FEATURES = [
     "From_Bank", "To_Bank", "Amount_Received", "Receiving_Currency", "Amount_Paid",
@@ -42,7 +43,6 @@ CORRELATION_FEATURES = [
 ]
 
 RANDOM_SEED = 42
-TEST_SIZE = 0.20
 TRAIN_PERCENT = 80            # hash bucket < 80 -> train
 IMBALANCE_RATIO = 20          # 1 positive : 20 negatives after downsampling
 RBA_N_BUCKETS = 20

@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed as decimal so totals do not depend on row order or on
-# how the rows are spread over partitions; the result is returned as double.
-MONEY = "decimal(20,2)"
+# Money is summed as decimal so totals do not depend on row order or on how the rows are
+# spread over partitions.  Whatever a decimal of this scale cannot hold (digits beyond the
+# eighth, NaN, infinities, amounts of MONEY_LIMIT and more) is summed beside it as double, so
+# nothing is rounded away and NaN behaves as in a plain double sum.
+MONEY = "decimal(28,8)"
+MONEY_LIMIT = 1e18
 
 
 def _c(c) -> Column:
@@ -35,14 +38,29 @@ def hash_percent(key, salt: str | None = None) -> Column:
     return (hash_u32(key, salt) % 100).cast("int")
 
 
+def money_parts(c) -> tuple[Column, Column]:
+    """(decimal, rest): what of an amount fits the decimal, and the remaining double (0.0 for most)."""
+    x = _c(c).cast("double")
+    fits = (F.abs(x) < F.lit(MONEY_LIMIT)) & ~F.isnan(x)
+    dec = F.when(fits, x.cast(MONEY))
+    return dec, F.when(fits, x - dec.cast("double")).otherwise(x)
+
+
+def money_total(dec, rest) -> Column:
+    """The double value of two summed parts; null where both are."""
+    d, r = _c(dec).cast("double"), _c(rest)
+    return F.when(d.isNull(), r).otherwise(d + F.coalesce(r, F.lit(0.0)))
+
+
 def exact_sum(c) -> Column:
-    """Order-independent sum of a money column, as double."""
-    return F.sum(_c(c).cast(MONEY)).cast("double")
+    """Order-independent sum of a money column, as double; null over no amounts."""
+    dec, rest = money_parts(c)
+    return money_total(F.sum(dec), F.sum(rest))
 
 
 def exact_mean(c) -> Column:
-    """Mean of a money column from an exact decimal sum (nulls ignored)."""
-    return F.sum(_c(c).cast(MONEY)).cast("double") / F.count(_c(c))
+    """Mean of a money column from its exact sum (nulls ignored; a NaN makes it NaN)."""
+    return exact_sum(c) / F.count(_c(c))
 
 
 def safe_ratio(num, den) -> Column:

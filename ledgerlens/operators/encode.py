@@ -34,11 +34,11 @@ def fit_ordinal(train: DataFrame, columns: list[str] = config.CATEGORICAL_COLS)
 
 def transform_ordinal(df: DataFrame, mapping: DataFrame, columns: list[str] = config.CATEGORICAL_COLS,
                       max_broadcast: int = MAX_BROADCAST_CATEGORIES) -> DataFrame:
-    """Replace each categorical column by its code (-1 when unseen)."""
-    # computed once (checkpoint), one bounded row count, then a broadcast per column
-    from ledgerlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    mapping = mapping.checkpoint(eager=True)
+    """Replace each categorical column by its code (-1 when unseen).
+
+    ``mapping`` is expected to be a stored table (a stage or Parquet); one bounded row count, then
+    a broadcast per column.
+    """
     small = mapping.limit(max_broadcast + 1).count() <= max_broadcast
     out = df
     for c in columns:

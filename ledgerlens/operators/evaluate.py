@@ -8,8 +8,8 @@ columns (amount, tier, model) ride along.
   aggregation, no join against the threshold grid.
 * Curves and their areas work on the score histogram (one row per distinct
   score).  Cumulative counts from the top score down are prefix sums over
-  score blocks balanced by a quantile sketch: block totals (at most a
-  thousand rows) get the prefix, rows inside a block get a window partitioned
+  score blocks balanced by a quantile sketch, as many as the scores need: block
+  totals get the prefix, rows inside a block get a window partitioned
   by block, so no single task sees the whole histogram.
 * Each curve point's predecessor is the cumulative count excluding its own
   score, so areas are plain sums (trapezoid rule, anchored at recall 0 /
@@ -25,9 +25,11 @@ from ledgerlens import config
 from ledgerlens.functions.columns import f1_expr, safe_ratio
 from ledgerlens.functions.joins import bounded_broadcast
 from ledgerlens.operators.quantiles import bucketize, sketch_cuts
+from ledgerlens.session import ensure_checkpoint_dir
 
 Y, P = "y_true", "y_prob"
-N_BLOCKS = 1000
+#: Distinct scores in a block of the prefix sums, about.
+BLOCK_SCORES = 20_000
 
 
 def _pos(c: Column) -> Column:
@@ -62,7 +64,7 @@ def sweep(pred: DataFrame, thresholds: list[float] = config.EVAL_THRESHOLDS,
     y, s = F.col(Y) == 1, F.col(P)
     aggs = [F.count(F.lit(1)).alias("_n"), _pos(y).alias("_p")]
     for i, t in enumerate(thresholds):
-        aggs += [_pos(y & (s >= F.lit(float(t)))).alias(f"_tp{i}"), _pos(~y & (s >= F.lit(float(t)))).alias(f"_fp{i}")]
+        aggs += [_pos(y & scored() & (s >= F.lit(float(t)))).alias(f"_tp{i}"), _pos(~y & scored() & (s >= F.lit(float(t)))).alias(f"_fp{i}")]
     wide = pred.groupBy(*groups).agg(*aggs)
     grid = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"_tp{i}").alias("tp"),
                               F.col(f"_fp{i}").alias("fp")) for i, t in enumerate(thresholds)])
@@ -85,9 +87,18 @@ def best_static_threshold(sweep_df: DataFrame) -> DataFrame:
                          F.coalesce("f", F.lit(0.0)).alias("f1_score"))
 
 
+def scored() -> Column:
+    """Whether a row has a score.  A null or NaN score is none: it never alerts and is on no curve."""
+    return F.col(P).isNotNull() & ~F.isnan(P)
+
+
+def reaches(threshold: Column) -> Column:
+    return scored() & (F.col(P) >= threshold)
+
+
 def predict_at(threshold: Column | float) -> Column:
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return F.when(F.col(P) >= t, 1).otherwise(0)
+    return F.when(reaches(t), 1).otherwise(0)
 
 
 def positive_rate(pred: DataFrame) -> DataFrame:
@@ -99,20 +110,22 @@ def positive_rate(pred: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- curves
 def score_histogram(pred: DataFrame) -> DataFrame:
     y = F.col(Y) == 1
-    return pred.where(F.col(P).isNotNull()).groupBy(P).agg(_pos(y).alias("pos"), _pos(~y).alias("neg"))
+    return pred.where(scored()).groupBy(P).agg(_pos(y).alias("pos"), _pos(~y).alias("neg"))
 
 
 def cumulative_from_top(hist: DataFrame) -> DataFrame:
     """Add ``tp``/``fp``: positives/negatives with score >= this score."""
-    probs = [i / N_BLOCKS for i in range(1, N_BLOCKS)]
-    blocked = bucketize(hist, P, sketch_cuts(hist, P, probs, 10 * N_BLOCKS), "_blk")
+    n = max(1, -(-hist.count() // BLOCK_SCORES))  # blocks grow in number, not in size
+    probs = [i / n for i in range(1, n)]
+    cuts = sketch_cuts(hist, P, probs, 10 * n) if probs else []
+    blocked = bucketize(hist, P, cuts, "_blk") if cuts else hist.withColumn("_blk", F.lit(0.0))
     totals = blocked.groupBy("_blk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.orderBy(F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_blk", F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_op"),
                             F.coalesce(F.sum("_bn").over(above), F.lit(0)).alias("_on"))
     inside = Window.partitionBy("_blk").orderBy(F.desc(P)).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.select("*", F.sum("pos").over(inside).alias("_lp"), F.sum("neg").over(inside).alias("_ln"))
-    # offsets has at most N_BLOCKS rows by construction
+    # one row of offsets for each block of BLOCK_SCORES scores
     return (local.join(bounded_broadcast(offsets), "_blk", "inner")
             .select(P, "pos", "neg", (F.col("_op") + F.col("_lp")).cast("long").alias("tp"),
                     (F.col("_on") + F.col("_ln")).cast("long").alias("fp")))
@@ -120,14 +133,15 @@ def cumulative_from_top(hist: DataFrame) -> DataFrame:
 
 def _class_totals(pred: DataFrame) -> DataFrame:
     y = F.col(Y) == 1
-    return pred.where(F.col(P).isNotNull()).agg(_pos(y).alias("P"), _pos(~y).alias("N"))
+    return pred.where(scored()).agg(_pos(y).alias("P"), _pos(~y).alias("N"))
 
 
 def curve_points(pred: DataFrame) -> DataFrame:
     """Per distinct score: cumulative counts, the point and its predecessor."""
     tot = _class_totals(pred).select(F.struct("P", "N")).scalar()
     P_, N_ = tot["P"], tot["N"]
-    cum = cumulative_from_top(score_histogram(pred))
+    ensure_checkpoint_dir(pred.sparkSession)
+    cum = cumulative_from_top(score_histogram(pred).checkpoint())  # counted, cut and summed from one computation
     tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     return cum.select(
         F.col(P).alias("threshold"), "tp", "fp",

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import MONEY, exact_mean
+from ledgerlens.functions.columns import exact_mean, money_parts, money_total
 
 FEATURE_COLUMNS = [
     "sender_tx_count_24h", "sender_amount_sum_24h", "receiver_tx_count_24h",
@@ -54,21 +54,22 @@ def with_date(df: DataFrame) -> DataFrame:
 
 
 def daily_activity(train: DataFrame, side: Side) -> DataFrame:
-    """(account, day) -> transaction count and exact amount sum (decimal)."""
+    """(account, day) -> transaction count and exact amount sum (decimal part, double rest)."""
+    dec, rest = money_parts(side.amount)
     return (with_date(train)
             .where(F.col(side.account).isNotNull() & F.col("Date").isNotNull())
             .groupBy(side.account, "Date")
-            .agg(F.count("Timestamp").alias("n"), F.sum(F.col(side.amount).cast(MONEY)).alias("amt")))
+            .agg(F.count("Timestamp").alias("n"), F.sum(dec).alias("amt"), F.sum(rest).alias("amt_rest")))
 
 
 def velocity_24h(train: DataFrame, side: Side) -> DataFrame:
     """(account, day) -> activity on that day plus the day before."""
     daily = daily_activity(train, side)
     shifted = daily.select(side.account, F.explode(F.array("Date", F.date_add("Date", 1))).alias("Date"),
-                           "n", "amt")
+                           "n", "amt", "amt_rest")
     return (shifted.groupBy(side.account, "Date")
             .agg(F.sum("n").alias(side.count_24h),
-                 F.sum("amt").cast("double").alias(side.amount_24h)))
+                 money_total(F.sum("amt"), F.sum("amt_rest")).alias(side.amount_24h)))
 
 
 def account_profile(train: DataFrame, side: Side) -> DataFrame:
@@ -94,15 +95,15 @@ def side_lookup_from(fact: DataFrame, vel: DataFrame, prof: DataFrame, side: Sid
                      max_keys: int | None = None) -> DataFrame:
     """``side_lookup`` over already-built velocity and profile tables (e.g. staged ones).
 
-    With ``max_keys`` (a small fact frame such as a micro-batch), the fact's keys are computed
-    once and, when there are at most ``max_keys`` of them, broadcast into semi-joins that cut
+    With ``max_keys`` (a small fact frame such as a micro-batch), the fact's keys are counted
+    and, when there are at most ``max_keys`` of them, broadcast into semi-joins that cut
     the large lookup tables down to the batch's accounts without shuffling them.
     """
     keys = _keys(fact, side)
     if max_keys is not None:
-        from ledgerlens.functions.joins import small_side
-        keys, small = small_side(keys, max_keys, with_flag=True)
-        if small:
+        # counted from the batch itself (cached by the caller): nothing is left in the checkpoint folder
+        if keys.limit(max_keys + 1).count() <= max_keys:
+            keys = F.broadcast(keys)
             vel = vel.join(keys, [side.account, "Date"], "left_semi")
             prof = prof.join(F.broadcast(keys.select(side.account).distinct()), side.account, "left_semi")
     return (keys.join(vel, [side.account, "Date"], "left")

@@ -11,7 +11,6 @@ keep everything as one lazy plan.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,31 @@ from ledgerlens.sources import sinks
 from ledgerlens.sources.fixtures import transactions
 
 LAB = config.TARGET_COL
-_STAGES: dict[tuple[str, str, str], str] = {}
+# tables that the derived transactions come from
+STATE_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+_STAGES: dict[tuple, str] = {}
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(folder, digest of its tables' file names, sizes and times): a stage holds for this state only."""
+    import hashlib
+
+    conf, files = spark.sparkContext._jsc.hadoopConfiguration(), []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(conf)
+    for name in STATE_TABLES:
+        table = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet")
+        if fs.exists(table):
+            status = fs.getFileStatus(table)
+            parts = fs.listStatus(table) if status.isDirectory() else [status]
+            files += sorted((p.getPath().getName(), p.getLen(), p.getModificationTime()) for p in parts)
+    return sf_dir.rstrip("/"), hashlib.sha256(repr(files).encode()).hexdigest()[:16]
+
+
+def forget_stages() -> None:
+    """Drop what this process remembers of stages and models, so they are built again."""
+    for kept in (_STAGES, _SMALL, _MODELS):
+        kept.clear()
 
 
 def _materialize_enabled(spark: SparkSession) -> bool:
@@ -36,7 +59,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     if not _materialize_enabled(spark):
         return build()
     from ledgerlens.session import scratch_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, *input_state(spark, sf_dir), name)
     path = _STAGES.get(key)
     if path is None:
         path = scratch_dir(spark, f"stage-{name}")
@@ -45,20 +68,19 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return spark.read.parquet(path)
 
 
-_SMALL: dict[tuple[str, str, str], DataFrame] = {}
+_SMALL: dict[tuple, DataFrame] = {}
 
 
 def small_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A small derived table (bucket rates, tier boundaries, tier thresholds) computed once per
     session/input: reliable ``checkpoint()`` into the shared folder, reused by every later plan.
 
-    These tables are a few rows, but each one costs a pass (and a quantile sketch) over a
-    large input; recomputing them for every report would repeat that pass.
+    These tables are a few rows, but each one costs one pass or more over a large input; recomputing them for every report would repeat that pass.
     """
     if not _materialize_enabled(spark):
         return build()
     from ledgerlens.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, *input_state(spark, sf_dir), name)
     df = _SMALL.get(key)
     if df is None:
         ensure_checkpoint_dir(spark)
@@ -111,18 +133,25 @@ def fixture_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "Amount_Paid")
 
 
-_MODELS: dict[tuple[str, str, str], str] = {}
+_MODELS: dict[tuple[str, str, str], object] = {}
 
 
 def fitted_model(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], object]):
-    """Fit once per session/input, persist with ``PipelineModel.save`` and load afterwards."""
+    """Fit once per session and input, and save; the fitted model itself is used from then on.
+
+    Where ``ledgerlens.model.dir`` names a shared folder, models are saved there under the state of
+    the input (file sizes and times) and a later session loads them instead of fitting again.
+    """
     from pyspark.ml import PipelineModel
 
     from ledgerlens.session import scratch_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    path = _MODELS.get(key)
-    if path is None:
-        path = scratch_dir(spark, f"model-{name}")
-        fit().write().overwrite().save(path)
-        _MODELS[key] = path
-    return PipelineModel.load(path)
+    key = (spark.sparkContext.applicationId, *input_state(spark, sf_dir), name)
+    if key not in _MODELS:
+        shared = spark.conf.get("ledgerlens.model.dir", None)
+        path = f"{shared.rstrip('/')}/{name}-{input_state(spark, sf_dir)[1]}" if shared else scratch_dir(spark, f"model-{name}")
+        if shared and sinks.stage_done(spark, f"{path}/metadata"):
+            _MODELS[key] = PipelineModel.load(path)
+        else:
+            _MODELS[key] = fit()
+            _MODELS[key].write().overwrite().save(path)
+    return _MODELS[key]

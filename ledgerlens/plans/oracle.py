@@ -18,7 +18,8 @@ CLEAN_OUT = ("From_Bank, From_Account, To_Bank, To_Account, Amount_Received, Rec
 FEATS = ("sender_tx_count_24h, sender_amount_sum_24h, receiver_tx_count_24h, receiver_amount_sum_24h, "
          "sender_tx_count, sender_avg_amount, receiver_tx_count, receiver_avg_amount, out_degree, in_degree")
 LABEL = "CASE WHEN Is_Laundering = 1 THEN 'Fraud' ELSE 'Normal' END AS label"
-DEC = "DECIMAL(20,2)"
+# Amounts are summed as compensated doubles (fsum), independent of the decimals in Spark, and taken
+# to six decimals: the stated tolerance of these comparisons.
 
 BASE = TRANSACTIONS_SQL + """,
 tx_split AS (
@@ -43,14 +44,14 @@ pred AS (SELECT tx_key, Is_Laundering AS y_true, score AS y_prob, Amount_Paid FR
 
 FEATURES = """,
 daily_send AS (SELECT From_Account, CAST("Timestamp" AS DATE) AS d, COUNT("Timestamp") AS n,
-                      SUM(CAST(Amount_Paid AS DECIMAL(20,2))) AS amt FROM train GROUP BY 1, 2),
+                      round(fsum(Amount_Paid), 6) AS amt FROM train GROUP BY 1, 2),
 daily_recv AS (SELECT To_Account, CAST("Timestamp" AS DATE) AS d, COUNT("Timestamp") AS n,
-                      SUM(CAST(Amount_Received AS DECIMAL(20,2))) AS amt FROM train GROUP BY 1, 2),
+                      round(fsum(Amount_Received), 6) AS amt FROM train GROUP BY 1, 2),
 sender_stats AS (SELECT From_Account, COUNT("Timestamp") AS sender_tx_count,
-                        CAST(SUM(CAST(Amount_Paid AS DECIMAL(20,2))) AS DOUBLE) / COUNT(Amount_Paid) AS sender_avg_amount
+                        round(fsum(Amount_Paid), 6) / COUNT(Amount_Paid) AS sender_avg_amount
                  FROM train GROUP BY 1),
 receiver_stats AS (SELECT To_Account, COUNT("Timestamp") AS receiver_tx_count,
-                          CAST(SUM(CAST(Amount_Received AS DECIMAL(20,2))) AS DOUBLE) / COUNT(Amount_Received) AS receiver_avg_amount
+                          round(fsum(Amount_Received), 6) / COUNT(Amount_Received) AS receiver_avg_amount
                    FROM train GROUP BY 1),
 pairs AS (SELECT From_Account, To_Account, COUNT(*) AS c FROM train GROUP BY 1, 2),
 out_deg AS (SELECT From_Account, COUNT(To_Account) AS out_degree FROM pairs GROUP BY 1),
@@ -58,9 +59,9 @@ in_deg AS (SELECT To_Account, COUNT(From_Account) AS in_degree FROM pairs GROUP
 feat AS (
   SELECT f.*,
     COALESCE(st.n, 0) + COALESCE(sy.n, 0) AS sender_tx_count_24h,
-    CAST(COALESCE(st.amt, 0) + COALESCE(sy.amt, 0) AS DOUBLE) AS sender_amount_sum_24h,
+    round(COALESCE(st.amt, 0.0) + COALESCE(sy.amt, 0.0), 6) AS sender_amount_sum_24h,
     COALESCE(rt.n, 0) + COALESCE(ry.n, 0) AS receiver_tx_count_24h,
-    CAST(COALESCE(rt.amt, 0) + COALESCE(ry.amt, 0) AS DOUBLE) AS receiver_amount_sum_24h,
+    round(COALESCE(rt.amt, 0.0) + COALESCE(ry.amt, 0.0), 6) AS receiver_amount_sum_24h,
     COALESCE(ss.sender_tx_count, 0) AS sender_tx_count,
     COALESCE(ss.sender_avg_amount, 0.0) AS sender_avg_amount,
     COALESCE(rs.receiver_tx_count, 0) AS receiver_tx_count,
@@ -268,6 +269,25 @@ def _ordinal_encode() -> str:
     return "WITH " + BASE + _ordinal_map_cte() + "\n" + body
 
 
+def _assembled() -> str:
+    """The model inputs of the balanced training rows and the test rows, one column each."""
+    sel, joins = [], []
+    for i, c in enumerate(config.MODEL_FEATURES):
+        if c in config.CATEGORICAL_COLS:
+            joins.append(f"LEFT JOIN (SELECT value, code FROM omap WHERE \"column\" = '{c}') m{i} "
+                         f"ON CAST(r.{c} AS VARCHAR) IS NOT DISTINCT FROM m{i}.value")
+            sel.append(f"COALESCE(m{i}.code, -1.0) AS {c}")
+        else:
+            sel.append(f"CAST(r.{c} AS DOUBLE) AS {c}")
+    return _w(_ordinal_map_cte() + f"\nSELECT r.tx_key, r.split, r.{LAB}, " + ", ".join(sel) + " FROM (SELECT * FROM balanced_feat "
+              "UNION ALL SELECT * FROM feat WHERE split = 'test') r " + " ".join(joins), True)
+
+
+def _scored(columns: str = "") -> str:
+    """What SQL can know of a score table: the test rows with their labels, and probabilities within bounds."""
+    return _w(f"SELECT tx_key, {LAB} AS y_true, true AS in_bounds{columns} FROM test")
+
+
 def _box_sql() -> str:
     names = ["min_log", "q1_log", "median_log", "q3_log", "max_log"]
     qs = ", ".join(f"round(quantile_cont(log10(Amount_Paid + 1e-5), {p}), 9) AS {n}" for p, n in zip(BOX_PROBS, names))
@@ -314,7 +334,7 @@ SELECT Is_Laundering, {LABEL}, COUNT(*) AS jumlah,
 FROM transactions GROUP BY Is_Laundering""")
     q["amount_stats"] = _w(f"""
 SELECT Is_Laundering, {LABEL},
-  round(CAST(SUM(CAST(Amount_Paid AS {DEC})) AS DOUBLE) / COUNT(Amount_Paid), 2) AS avg_amount,
+  round(fsum(Amount_Paid) / COUNT(Amount_Paid), 2) AS avg_amount,
   round(MIN(Amount_Paid), 2) AS min_amount, round(MAX(Amount_Paid), 2) AS max_amount,
   round(stddev_samp(Amount_Paid), 2) AS std_amount,
   round(MAX(CASE WHEN rn = (n + 3) // 4 THEN Amount_Paid END), 2) AS q1_amount,
@@ -329,13 +349,13 @@ SELECT Is_Laundering, {LABEL}, Payment_Format, COUNT(*) AS jumlah,
 FROM transactions GROUP BY Is_Laundering, Payment_Format""")
     daily = f"""
 SELECT CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS tanggal, Is_Laundering, {LABEL}, COUNT(*) AS jumlah_transaksi,
-  round(CAST(SUM(CAST(Amount_Paid AS {DEC})) AS DOUBLE), 2) AS total_amount
+  round(fsum(Amount_Paid), 2) AS total_amount
 FROM transactions WHERE "Timestamp" IS NOT NULL {{extra}}
 GROUP BY CAST("Timestamp" AS DATE), Is_Laundering"""
     q["daily_timeline"] = _w(daily.format(extra=""))
     q["fraud_daily"] = _w(daily.format(extra="AND Is_Laundering = 1"))
     q["top_senders"] = _w(f"""
-SELECT From_Account, COUNT(*) AS tx_count_sent, CAST(SUM(CAST(Amount_Paid AS {DEC})) AS DOUBLE) AS total_sent,
+SELECT From_Account, COUNT(*) AS tx_count_sent, round(fsum(Amount_Paid), 6) AS total_sent,
   COUNT(DISTINCT To_Account) AS unique_recipients, CAST(SUM(Is_Laundering) AS BIGINT) AS fraud_tx_count
 FROM transactions GROUP BY From_Account ORDER BY tx_count_sent DESC, From_Account ASC LIMIT {config.TOP_SENDERS}""")
     hourly = f"""
@@ -362,12 +382,12 @@ FROM test WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid) GROUP BY Is_L
     q["velocity_receiver"] = _w("SELECT tx_key, split, receiver_tx_count_24h, receiver_amount_sum_24h FROM feat", True)
     q["sender_profile"] = _w("""
 SELECT From_Account, COUNT("Timestamp") AS sender_tx_count,
-  CAST(SUM(CAST(Amount_Paid AS DECIMAL(20,2))) AS DOUBLE) / COUNT(Amount_Paid) AS sender_avg_amount,
+  round(fsum(Amount_Paid), 6) / COUNT(Amount_Paid) AS sender_avg_amount,
   COUNT(DISTINCT To_Account) AS out_degree
 FROM train WHERE From_Account IS NOT NULL GROUP BY From_Account""")
     q["receiver_profile"] = _w("""
 SELECT To_Account, COUNT("Timestamp") AS receiver_tx_count,
-  CAST(SUM(CAST(Amount_Received AS DECIMAL(20,2))) AS DOUBLE) / COUNT(Amount_Received) AS receiver_avg_amount,
+  round(fsum(Amount_Received), 6) / COUNT(Amount_Received) AS receiver_avg_amount,
   COUNT(DISTINCT From_Account) AS in_degree
 FROM train WHERE To_Account IS NOT NULL GROUP BY To_Account""")
     q["feature_table"] = _w(f"""
@@ -380,6 +400,9 @@ FROM (SELECT CAST(SUM(CASE WHEN Is_Laundering = 0 THEN 1 ELSE 0 END) AS BIGINT)
              CAST(SUM(CASE WHEN Is_Laundering = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives FROM balanced_rows)""")
     q["ordinal_map"] = "WITH " + BASE + _ordinal_map_cte() + "\nSELECT * FROM omap"
     q["ordinal_encode"] = _ordinal_encode()
+    q["assemble_features"] = _assembled()
+    for name in ("rf_score_rows", "gbt_a_score_rows", "gbt_b_score_rows"):
+        q[name] = _scored()
     q["confusion_default"] = "WITH " + BASE + ",\n" + _confusion("(CASE WHEN y_prob >= 0.5 THEN 1 ELSE 0 END)") + \
         " FROM pred)\nSELECT tp0 AS true_positives, fp0 AS false_positives, fn0 AS false_negatives, " \
         "tn0 AS true_negatives FROM c0"

@@ -34,6 +34,18 @@ EDA_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+CHARTS_ALL: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "fraud_daily": explore.fraud_daily,
+    "fraud_hourly": explore.fraud_hourly,
+    "fraud_peak_hour": explore.fraud_peak_hour,
+}
+CHARTS_TEST: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "format_share": explore.format_share,
+    "class_median": explore.class_median,
+    "amount_log_box": explore.amount_log_box,
+}
+
+
 def with_row_key(df: DataFrame) -> DataFrame:
     """Content hash of the cleaned columns: a stable key for split and sampling."""
     return df.withColumn("tx_key", F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -42,11 +54,11 @@ def with_row_key(df: DataFrame) -> DataFrame:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, out_dir: str, estimators: dict | None = None,
-                 tuning_model: str = "gbt_a"):
+                 tuning_model: str = "gbt_a", untiered: tuple[str, ...] = ("random_forest",)):
         self.spark, self.out = spark, out_dir.rstrip("/")
         self.estimators = estimators or {"random_forest": models.random_forest(), "gbt_a": models.boosted_a(),
                                          "gbt_b": models.boosted_b()}
-        self.tuning_model = tuning_model
+        self.tuning_model, self.untiered = tuning_model, untiered
 
     def path(self, *parts: str) -> str:
         return "/".join([self.out, *parts])
@@ -108,44 +120,91 @@ class Pipeline:
             return reduce(DataFrame.unionByName, parts)
         return self._parquet_stage("predictions", build, ["model"])
 
-    # E1-E14, S8
+    def _json(self, name: str, build: Callable[[], DataFrame]) -> None:
+        p = self.path(name)
+        if not sinks.stage_done(self.spark, p):
+            sinks.write_json(build(), p)
+
+    # E7-E11: thresholds with the boundaries and the base rate they were tuned under
+    def tier_config(self, preds: DataFrame) -> DataFrame:
+        def build() -> DataFrame:
+            bounds = tiers.tier_boundaries(self.spark.read.json(self.path("eda", "fraud_rate_by_bucket")))
+            tune = tiers.with_tier(preds.where(F.col("model") == self.tuning_model), bounds)
+            b = bounds.first()  # one row
+            return tiers.tier_thresholds(tune).withColumns({c: F.lit(b[c]) for c in ("low_boundary", "high_boundary", "baseline_rate")})
+        return self._parquet_stage("rba_tier_config", build)
+
+    # S9, E12: scores with the tier and its decision (null for models without tiers)
+    def decisions(self, preds: DataFrame, tier_table: DataFrame) -> DataFrame:
+        def build() -> DataFrame:
+            tiered = tiers.apply_tiers(tiers.with_tier(preds, tiers.boundaries_of(tier_table)), tier_table)
+            plain = F.col("model").isin(list(self.untiered))
+            return tiered.withColumns({c: F.when(~plain, F.col(c)) for c in ("tier", "y_pred_dynamic")})
+        return self._parquet_stage("predictions_with_tiers", build, ["model"])
+
+    # E1-E14, S8, T7
     def evaluate(self, cleaned: DataFrame, preds: DataFrame) -> DataFrame:
-        buckets = self.spark.read.json(self.path("eda", "fraud_rate_by_bucket"))
-        bounds = tiers.tier_boundaries(buckets)
-        tune = tiers.with_tier(preds.where(F.col("model") == self.tuning_model), bounds)
-        tier_table = self._parquet_stage("rba_tier_config", lambda: tiers.tier_thresholds(tune))
+        from functools import reduce
+
+        from pyspark.ml import PipelineModel
+        tier_table = self.tier_config(preds)
+        bounds = tiers.boundaries_of(tier_table)
+        decided = self.decisions(preds, tier_table)
         rows = []
         for name in self.estimators:
             p = preds.where(F.col("model") == name)
-            with_rba = name != "random_forest"
+            with_rba = name not in self.untiered
+            points = self._parquet_stage(f"curves/{name}", lambda p=p: ev.curve_points(p))
+            areas = ev.curve_areas_from(points)
             rows.append(report.model_comparison(p, name, tier_table if with_rba else None,
-                                                bounds if with_rba else None))
-            sweep_p = self.path("threshold_evaluation", name)
-            if not sinks.stage_done(self.spark, sweep_p):
-                sinks.write_json(ev.sweep(p), sweep_p)
-        from functools import reduce
+                                                bounds if with_rba else None, areas=areas))
+            self._json(f"threshold_evaluation/{name}", lambda p=p: ev.sweep(p))
+            self._json(f"metrics_summary/{name}", lambda p=p, a=areas, r=with_rba, n=name: report.metrics_summary(
+                p, a, decided.where(F.col("model") == n) if r else None))
+            self._json(f"charts/pr_curve/{name}", lambda q=points: ev.pr_curve_from(q))
+            self._json(f"charts/roc_curve/{name}", lambda q=points: ev.roc_curve_from(q))
+            model = PipelineModel.load(self.path("models", name))
+            if hasattr(model.stages[-1], "featureImportances"):
+                self._json(f"feature_importance/{name}", lambda m=model: models.feature_importance(m, top=None))
         comparison = reduce(DataFrame.unionByName, rows)
         cp = self.path("model_comparison")
         if not sinks.stage_done(self.spark, cp):
             sinks.write_csv(comparison, cp)
         return self.spark.read.option("header", True).option("inferSchema", True).csv(cp)
 
+    # chart tables over the user's own data
+    def charts(self, cleaned: DataFrame, test: DataFrame) -> None:
+        for name, fn in CHARTS_ALL.items():
+            self._json(f"charts/{name}", lambda fn=fn: fn(cleaned))
+        for name, fn in CHARTS_TEST.items():
+            self._json(f"charts/{name}", lambda fn=fn: fn(test))
+        bounds = tiers.boundaries_of(self.spark.read.parquet(self.path("rba_tier_config")))
+        self._json("charts/tier_segmentation", lambda: tiers.segmentation(cleaned, bounds))
+        self._json("charts/bucket_tiers", lambda: tiers.bucket_tiers(self.spark.read.json(self.path("eda", "fraud_rate_by_bucket")), bounds))
+
     def run(self, raw_path: str) -> DataFrame:
         cleaned = self.cleaned(raw_path)
         balanced, test = self.features(cleaned)
         train_e, test_e = self.encoded(balanced, test)
         self.eda(cleaned, balanced)
         preds = self.predictions(train_e, test_e)
-        return self.evaluate(cleaned, preds)
+        comparison = self.evaluate(cleaned, preds)
+        self.charts(cleaned, test)
+        return comparison
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--raw", required=True)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--input-tb", type=float, default=0, help="size of the raw input: sets partition sizes for a cluster")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
-    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.session import cluster_conf, ensure_checkpoint_dir
+    builder = SparkSession.builder
+    if args.input_tb:
+        for k, v in cluster_conf(int(args.input_tb * (1 << 40))).items():
+            builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     Pipeline(spark, args.out).run(args.raw).show(truncate=False)
 

@@ -39,15 +39,22 @@ def q_split_counts(spark, sf):
     return split.split_counts(ds.tx_split(spark, sf))
 
 
+def _balanced_labels(spark, sf):
+    """Key and label of the balanced training rows: which rows they are needs no features."""
+    train = ds.tx_split(spark, sf).where(F.col("split") == "train").select("tx_key", LAB)
+    return split.downsample(train, fraction_source=train)
+
+
 def q_downsample_counts(spark, sf):
-    bal = ds.train_balanced(spark, sf)
+    bal = _balanced_labels(spark, sf)
     return bal.groupBy(LAB).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- features
 def _side_features(spark, sf, side):
+    """The velocity table is unique by (account, day): the rows meet it in one join."""
     s = ds.tx_split(spark, sf)
-    fact = feat._attach(feat.with_date(s), feat.side_lookup(s, s.where(F.col("split") == "train"), side), side)
+    fact = feat._attach(feat.with_date(s), feat.velocity_24h(s.where(F.col("split") == "train"), side), side)
     cols = [side.count_24h, side.amount_24h]
     return fact.select("tx_key", "split", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols])
 
@@ -101,7 +108,7 @@ def q_correlation(spark, sf):
 
 
 def q_class_weight(spark, sf):
-    return explore.class_weight(ds.train_balanced(spark, sf))
+    return explore.class_weight(_balanced_labels(spark, sf))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -170,7 +177,7 @@ def q_roc_auc(spark, sf):
 
 
 # ---------------------------------------------------------------- risk tiers
-# The bucket table (a quantile sketch over every transaction), the boundaries and the
+# The bucket table (exact cut points over every transaction), the boundaries and the
 # per-tier thresholds are small stage outputs: each is computed once and reused.
 def _buckets(spark, sf):
     return ds.small_table(spark, sf, "amount_buckets", lambda: tiers.amount_buckets(ds.tx(spark, sf)))
@@ -215,8 +222,7 @@ def q_rba_metrics(spark, sf):
 
 
 def q_tier_segmentation(spark, sf):
-    return (tiers.with_tier(ds.tx(spark, sf), _boundaries(spark, sf)).where(F.col("tier").isNotNull())
-            .groupBy("tier", LAB).agg(F.count(F.lit(1)).alias("jumlah")))
+    return tiers.segmentation(ds.tx(spark, sf), _boundaries(spark, sf))
 
 
 def q_model_comparison(spark, sf):
@@ -232,21 +238,23 @@ def q_model_comparison_long(spark, sf):
 
 # ---------------------------------------------------------------- models
 def _encoded_sets(spark, sf):
-    f = ds.features(spark, sf)
-    mapping = ds.encoder_mapping(spark, sf)
-    train = ds.train_balanced_from(f, ds.tx_split(spark, sf))
-    test = f.where(F.col("split") == "test")
-    return encode.transform_ordinal(train, mapping), encode.transform_ordinal(test, mapping)
+    """Encoded training and test rows, stored once for every model."""
+    f, mapping = ds.features(spark, sf), ds.encoder_mapping(spark, sf)
+    train = ds.stage(spark, sf, "encoded_train", lambda: encode.transform_ordinal(
+        ds.train_balanced_from(f, ds.tx_split(spark, sf)), mapping))
+    test = ds.stage(spark, sf, "encoded_test", lambda: encode.transform_ordinal(f.where(F.col("split") == "test"), mapping))
+    return train, test
 
 
 def q_assemble_features(spark, sf):
+    """The assembled vector, one column for each model input."""
     from pyspark.ml.functions import vector_to_array
 
     from ledgerlens.operators import models
     train, test = _encoded_sets(spark, sf)
-    rows = train.unionByName(test)
-    return models.assembler().transform(rows).select("tx_key", "split", LAB,
-                                                     vector_to_array("features").alias("features"))
+    rows = models.assembler().transform(train.unionByName(test)).select("tx_key", "split", LAB, vector_to_array("features").alias("v"))
+    out = rows.select("tx_key", "split", LAB, *[F.col("v")[i].alias(c) for i, c in enumerate(config.MODEL_FEATURES)])
+    return out
 
 
 def _model(spark, sf, estimator_factory):
@@ -256,30 +264,45 @@ def _model(spark, sf, estimator_factory):
                            lambda: models.fit(train, getattr(models, estimator_factory)()))
 
 
+def _predictions(spark, sf, estimator_factory):
+    """A model's scored test rows, stored: the reports read them several times."""
+    from ledgerlens.operators import models
+    _, test = _encoded_sets(spark, sf)
+    return ds.stage(spark, sf, f"predictions_{estimator_factory}",
+                    lambda: models.score(_model(spark, sf, estimator_factory), test))
+
+
 def _model_scores(estimator_factory):
+    return lambda spark, sf: _predictions(spark, sf, estimator_factory)
+
+
+def _score_rows(estimator_factory):
+    """What SQL can check of a score table: one row a test key, its label, a probability within [0, 1]."""
     def run(spark, sf):
-        from ledgerlens.operators import models
-        _, test = _encoded_sets(spark, sf)
-        return models.score(_model(spark, sf, estimator_factory), test)
+        return _predictions(spark, sf, estimator_factory).select("tx_key", "y_true", F.col("y_prob").between(0, 1).alias("in_bounds"))
     return run
 
 
 def q_feature_importance(spark, sf):
+    """Importances of both boosters, all features, largest first."""
     from ledgerlens.operators import models
-    return models.feature_importance(_model(spark, sf, "boosted_b"))
+    both = [models.feature_importance(_model(spark, sf, factory), top=None).withColumn("Model", F.lit(name))
+            for name, factory in (("gbt_a", "boosted_a"), ("gbt_b", "boosted_b"))]
+    return both[0].unionByName(both[1])
 
 
 def q_model_comparison_trained(spark, sf):
     """Comparison over the trained models, as the source pipeline reports it: tiers are tuned on
     the leaf-wise booster's test scores and reused for the depth-wise one; the forest gets none."""
+    from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
 
-    from ledgerlens.operators import models, report
-    _, test = _encoded_sets(spark, sf)
+    from ledgerlens.operators import report
     bounds = _boundaries(spark, sf)
-    preds = {name: models.score(_model(spark, sf, factory), test)
-             for name, factory in (("random_forest", "random_forest"), ("gbt_a", "boosted_a"),
-                                   ("gbt_b", "boosted_b"))}
+    factories = {"random_forest": "random_forest", "gbt_a": "boosted_a", "gbt_b": "boosted_b"}
+    _encoded_sets(spark, sf)  # stored before the fits, which do not depend on each other, run side by side
+    with ThreadPoolExecutor(len(factories)) as pool:
+        preds = dict(zip(factories, pool.map(lambda f: _predictions(spark, sf, f), factories.values())))
     tier_table = tiers.tier_thresholds(tiers.with_tier(preds["gbt_a"], bounds))
     rows = [report.model_comparison(preds["random_forest"], "random_forest"),
             report.model_comparison(preds["gbt_a"], "gbt_a", tier_table, bounds),
@@ -343,6 +366,9 @@ QUERIES: dict[str, Query] = {
     "rf_scores": _model_scores("random_forest"),
     "gbt_a_scores": _model_scores("boosted_a"),
     "gbt_b_scores": _model_scores("boosted_b"),
+    "rf_score_rows": _score_rows("random_forest"),
+    "gbt_a_score_rows": _score_rows("boosted_a"),
+    "gbt_b_score_rows": _score_rows("boosted_b"),
     "feature_importance": q_feature_importance,
     "model_comparison_trained": q_model_comparison_trained,
     "sql_class_distribution": _sql("class_distribution"),

@@ -42,11 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; set a private one only when none is configured.
 
     ``spark.checkpoint.dir`` names the shared folder on a cluster; it is read,
-    never overridden.  A temp folder is used only when it is absent (tests).
+    never overridden.  A temp folder is used only when it is absent and the master is local
+    (tests); on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if path is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -54,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cluster_conf(input_bytes: int, advisory_mb: int = 256) -> dict[str, str]:

@@ -9,6 +9,9 @@ malformed value becomes null instead of failing the job.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,27 +32,51 @@ class RawSchemaError(ValueError):
     pass
 
 
-def validate_header(header: list[str]) -> None:
-    """Every expected raw column must be present, in the expected positions."""
+def validate_header(header: list[str], where: str = "input") -> None:
+    """Every expected raw column must be present, in the expected positions.
+
+    The second ``Account`` may also be spelled ``Account.1`` or ``Account_1``.
+    """
     got = [h.strip().strip('"') for h in header]
-    if got != config.RAW_HEADER:
-        missing = sorted(set(config.RAW_HEADER) - set(got))
+    second = len(config.RAW_HEADER) - 1 - config.RAW_HEADER[::-1].index("Account")
+    plain = ["Account" if i == second and h in config.ACCOUNT_SPELLINGS else h for i, h in enumerate(got)]
+    if plain != config.RAW_HEADER:
+        missing = sorted(set(config.RAW_HEADER) - set(plain))
         raise RawSchemaError(
-            f"raw transaction header mismatch: expected {config.RAW_HEADER}, got {got}"
+            f"raw transaction header mismatch in {where}: expected {config.RAW_HEADER}, got {got}"
             + (f"; missing {missing}" if missing else ""))
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """First line of the input (one row read, not the file)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        raise RawSchemaError(f"no rows in {path}")
-    return first[0][0].split(",")
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of one file on any Hadoop filesystem (compressed ones too); no more is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        data = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def validate_files(spark: SparkSession, paths: list[str]) -> None:
+    """Check the header of every file; the first that differs stops the read, by name."""
+    def check(path: str) -> None:
+        line = first_line(spark, path)
+        if line is not None:  # an empty file has no rows
+            validate_header(line.lstrip("\ufeff").split(","), path)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(check, paths))
 
 
 def read_raw(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
     if validate:
-        validate_header(read_header(spark, path))
+        files = spark.read.text(path).inputFiles()
+        if not files:
+            raise RawSchemaError(f"no files in {path}")
+        validate_files(spark, [unquote(f) for f in files])
     raw = (spark.read.schema(RAW_SCHEMA).option("header", True)
            .option("enforceSchema", True).option("mode", "PERMISSIVE").csv(path))
     return raw.select(*[F.col(f"_raw{i}").alias(n) for i, n in enumerate(config.CLEAN_NAMES)])

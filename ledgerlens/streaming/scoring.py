@@ -11,6 +11,8 @@ output folders).
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,14 @@ from ledgerlens.plans.pipeline import with_row_key
 from ledgerlens.sources import ingest
 
 
+FILE = "_file"
+
+
 def read_raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     raw = (spark.readStream.schema(ingest.RAW_SCHEMA).option("header", True)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(raw_dir))
     named = raw.select(*[F.col(f"_raw{i}").alias(n) for i, n in enumerate(config.CLEAN_NAMES)])
-    return with_row_key(ingest.clean(named))
+    return named.withColumn(FILE, F.input_file_name())
 
 
 # a micro-batch's distinct (account, day) keys are broadcast into semi-joins up to this count
@@ -45,16 +50,23 @@ def score_batch(spark: SparkSession, batch: DataFrame, pipeline_out: str, model:
     feats = build_features_from(rows, tables, max_keys=max_keys)
     enc = encode.transform_ordinal(feats, spark.read.parquet(f"{out}/encoder"))
     pred = models.score(PipelineModel.load(f"{out}/models/{model}"), enc)
-    bounds = tiers.tier_boundaries(spark.read.json(f"{out}/eda/fraud_rate_by_bucket"))
-    return tiers.apply_tiers(tiers.with_tier(pred, bounds), spark.read.parquet(f"{out}/rba_tier_config"))
+    tier_table = spark.read.parquet(f"{out}/rba_tier_config")  # thresholds and boundaries, a few rows
+    return tiers.apply_tiers(tiers.with_tier(pred, tiers.boundaries_of(tier_table)), tier_table)
 
 
 def start(spark: SparkSession, raw_dir: str, pipeline_out: str, sink_dir: str, checkpoint: str,
           model: str = "gbt_a", available_now: bool = True) -> StreamingQuery:
     """Alerts for each micro-batch go to ``sink_dir/batch_id=<n>`` (overwritten on replay)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_batch(spark, batch, pipeline_out, model)
-        scored.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+        batch = batch.persist()  # read by the header check, the keys and the scores
+        try:
+            files = [r[0] for r in batch.select(FILE).distinct().collect()]  # maxFilesPerTrigger at most
+            ingest.validate_files(spark, [unquote(f) for f in files])
+            rows = with_row_key(ingest.clean(batch.drop(FILE)))
+            scored = score_batch(spark, rows, pipeline_out, model)
+            scored.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = read_raw_stream(spark, raw_dir).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

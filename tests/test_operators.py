@@ -1,6 +1,7 @@
 """Edge cases on hand-made rows, checked against brute force in Python."""
 
 import datetime as dt
+import math
 import os
 import random
 
@@ -306,3 +307,76 @@ def test_fact_join_is_never_a_broadcast_of_the_line_items(spark):
     plan = transactions(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin [l_orderkey" in plan
     assert "BroadcastHashJoin [l_orderkey" not in plan
+
+
+def test_money_sums_lose_nothing(spark):
+    from ledgerlens.functions.columns import exact_mean, exact_sum
+    from ledgerlens.operators import features as ft
+    nan = float("nan")
+    rows = ([("cents", 0.004)] * 1000 + [("nan", 10.0), ("nan", 20.0), ("nan", nan), ("big", 1e19), ("big", 2.5), ("inf", float("inf")),
+            ("tiny", 1e-11), ("tiny", 3e-11), ("none", None), ("neg", -0.005), ("neg", 0.001)])
+    got = {r.k: (r.s, r.m) for r in spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(
+        exact_sum("x").alias("s"), exact_mean("x").alias("m")).collect()}
+    assert got["cents"] == (4.0, 0.004)
+    assert all(math.isnan(v) for v in got["nan"])
+    assert got["big"] == (1e19 + 2.5, (1e19 + 2.5) / 2) and got["inf"][0] == float("inf")
+    assert got["tiny"][0] == pytest.approx(4e-11) and got["none"] == (None, None) and got["neg"][0] == pytest.approx(-0.004)
+    tx = spark.sql("select 'a' From_Account, 'b' To_Account, timestamp'2022-09-01 10:00:00' Timestamp, 0.004D Amount_Paid, "
+                   "0.004D Amount_Received from range(1000)")
+    assert ft.velocity_24h(tx, ft.SENDER).where("Date = date'2022-09-02'").first()["sender_amount_sum_24h"] == 4.0
+    assert ft.account_profile(tx, ft.RECEIVER).first()["receiver_avg_amount"] == 0.004
+
+
+def test_every_file_header_is_checked(spark, tmp_path):
+    from ledgerlens import config
+    from ledgerlens.sources import ingest
+    head, row = list(config.RAW_HEADER), "2022/09/01 00:20,10,A,20,B,1.5,USD,2.5,EUR,Wire,0"
+    (tmp_path / "a.csv").write_text(",".join(head) + "\n" + row + "\n")
+    (tmp_path / "c.csv").write_text(",".join(head[:4] + ["Account.1"] + head[5:]) + "\n" + row + "\n")
+    (tmp_path / "d.csv").write_text(",".join(head[:4] + ["Account_1"] + head[5:]) + "\n" + row + "\n")
+    got = ingest.ingest(spark, str(tmp_path)).collect()
+    assert len(got) == 3 and {(r.Amount_Received, r.Amount_Paid, r.To_Account) for r in got} == {(1.5, 2.5, "B")}
+    swapped = list(head)
+    swapped[5], swapped[7] = head[7], head[5]
+    (tmp_path / "b.csv").write_text(",".join(swapped) + "\n" + row + "\n")
+    with pytest.raises(ingest.RawSchemaError, match="b.csv"):
+        ingest.ingest(spark, str(tmp_path))
+
+
+def test_rows_without_a_score_never_alert(spark):
+    from ledgerlens.operators import evaluate as ev
+    pred = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, float("nan")), (0, None)], "y_true int, y_prob double")
+    sweep = {r.threshold: (r.true_positives, r.false_positives) for r in ev.sweep(pred).collect()}
+    assert sweep[0.5] == (1, 0) and sweep[0.1] == (1, 1)
+    assert ev.confusion(pred, ev.predict_at(0.5)).first()["true_positives"] == 1
+    assert ev.pr_curve(pred).where("threshold is not null").count() == 2
+
+
+def test_curves_with_one_score_a_row(spark, monkeypatch):
+    from ledgerlens.operators import evaluate as ev
+    monkeypatch.setattr(ev, "BLOCK_SCORES", 300)
+    pred = spark.range(3000).selectExpr("cast(id % 7 = 0 as int) y_true", "(id * 7919 % 3001) / 3001D y_prob")
+    rows = sorted(((r.y_prob, r.y_true) for r in pred.collect()), reverse=True)
+    tp = fp = 0
+    want = {}
+    for p, y in rows:
+        tp, fp = tp + y, fp + 1 - y
+        want[p] = (tp, fp)
+    assert {r.threshold: (r.tp, r.fp) for r in ev.curve_points(pred).collect()} == want
+
+
+def test_training_needs_both_classes(spark):
+    from ledgerlens.operators import models
+    one = spark.createDataFrame([(0, 1.0)], "Is_Laundering int, x double")
+    with pytest.raises(ValueError):
+        models.fit(one, models.boosted_a(rounds=1))
+
+
+def test_intermediate_data_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from ledgerlens import session
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
