@@ -31,12 +31,12 @@ from ledgerlens.llm import textops as T
 from ledgerlens.llm.common import ship_code, stored, text_bytes
 
 #: Mean bytes of a chunk: a cut where this many low values of the rolling hash coincide.
-CHUNK_BITS = 10
+CHUNK_BITS = 11
 WINDOW_BYTES = 16
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 #: Compression of what is shuffled: texts and ids.
-LEVEL = 6
+LEVEL = 9
 #: Words whose ids a worker remembers; the store starts anew beyond it.
 MEMO_WORDS = 300_000
 
