@@ -117,8 +117,11 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _by_bucket(h: np.ndarray, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """(order, [(bucket, from, to)]): the hashes dealt to buckets by their upper bits, order kept within."""
-    bucket = ((h >> np.uint64(40)) * np.uint64(n_buckets) >> np.uint64(24)).astype(np.int64)
+    """(order, [(bucket, from, to)]): the hashes dealt to buckets, order kept within.
+
+    They are mixed first: an anchor's hash is the least of many, so its upper bits are mostly zero.
+    """
+    bucket = ((T.mix(h ^ np.uint64(0x6A09E667F3BCC909)) >> np.uint64(40)) * np.uint64(n_buckets) >> np.uint64(24)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
