@@ -34,11 +34,12 @@ def _key(line: Column, i: int, length: Column, start: Column, size: Column) -> C
     return F.xxhash64(length, F.lit(i), F.substring(line, start, size))
 
 
-def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column:
-    """array<struct<key, own>>: the line's own segments, and the substrings that probe other lengths.
+def packed_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column:
+    """array<long>: hashes of the line's own segments (lowest bit 1) and of the substrings that probe other lengths (0).
 
-    Lines within ``edits`` share a key of which at least one of them is the owner: substrings start
-    no further from the segment than edits left of it, and right of it, can have moved it.
+    Lines within ``edits`` share a hash, but for the lowest bit, of which at least one of them is
+    the owner: substrings start no further from the segment than edits left of it, and right of
+    it, can have moved it.  A substring that does not fit is null.
     """
     keys = []
     for gap in range(edits + 1):  # the other line is shorter by gap
@@ -47,11 +48,27 @@ def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column
             for shift in range(-edits, edits + 1):
                 if abs(shift) > i - 1 or abs(shift - gap) > edits + 1 - i:
                     continue
-                own = gap == 0 and shift == 0
-                key = _key(line, i, length - gap, start + shift, size)
-                fits = (start + shift >= 1) & (start + shift + size - 1 <= length)
-                keys.append(F.struct((key if own else F.when(fits, key)).alias("key"), F.lit(own).alias("own")))
-    return F.filter(F.array(*keys), lambda x: x["key"].isNotNull())
+                key = _key(line, i, length - gap, start + shift, size).bitwiseOR(F.lit(1).cast("long"))
+                if gap == 0 and shift == 0:
+                    keys.append(key)
+                else:
+                    fits = (start + shift >= 1) & (start + shift + size - 1 <= length)
+                    keys.append(F.when(fits, key - 1))
+    return F.array(*keys)
+
+
+def _unpacked(packed: Column) -> tuple[Column, Column]:
+    """(key, own) of a packed key."""
+    return packed.bitwiseOR(F.lit(1).cast("long")), packed.bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column:
+    """array<struct<key, own>>: the packed keys, spelled out."""
+    def spelled(x: Column) -> Column:
+        key, own = _unpacked(x)
+        return F.struct(key.alias("key"), own.alias("own"))
+
+    return F.transform(F.filter(packed_keys(line, length, edits), lambda x: x.isNotNull()), spelled)
 
 
 def long_lines(docs: DataFrame) -> DataFrame:
@@ -141,11 +158,13 @@ def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
 def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """(a, b): pairs of distinct lines, by their h1, within ``edits`` of each other.
 
-    lines: h1, line, n; repeats are allowed.  Only keys are shuffled, and those that one line alone
+    lines: h1, line, n; repeats are allowed.  Keys are stored and only keys are shuffled; those that one line alone
     has are dropped by a partial aggregation before anything is joined; texts are read again for
     the few lines that share a segment with another.
     """
-    keys = lines.select("h1", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("k")).select("h1", "k.key", "k.own")
+    packed = stored(lines.select("h1", F.explode(packed_keys(F.col("line"), F.col("n"), edits)).alias("packed")).where("packed is not null"), "line_keys")
+    key, own = _unpacked(F.col("packed"))
+    keys = packed.select("h1", key.alias("key"), own.alias("own"))
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("owned"))
                     .where("owned and low <> high").select("key"), "shared_keys")
     active = stored(keys.join(small(shared), "key").distinct(), "active")
