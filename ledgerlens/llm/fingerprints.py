@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textops as T
-from ledgerlens.llm.common import ship_code
+from ledgerlens.llm.common import ship_code, text_bytes
 
 #: Cells of the published fingerprint, in three sub-tables; each retry has GROWTH times as many.
 CELLS = 24
 GROWTH = 4
 RETRIES = 12
+#: Text in a part of neighbouring documents, about.
+PART_BYTES = 16 << 20
 #: A word ends a piece when its hash is 0 modulo this (or at the end of a line).
 PIECE_WORDS = 4
 
@@ -232,11 +234,13 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"))
     # the keys alone are range-partitioned first: each non-empty range's least key bounds a part
-    keys = rows.select("k1", "k2").repartitionByRange("k1", "k2").withColumn("range", F.spark_partition_id())
+    # (a given number of ranges: left to itself, Spark would merge the short keys into few, and so the texts)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // PART_BYTES))
+    keys = rows.select("k1", "k2").repartitionByRange(n, "k1", "k2").withColumn("range", F.spark_partition_id())
     found = keys.groupBy("range").agg(F.min(F.struct("k1", "k2")).alias("least")).select("least.*").collect()  # one row a range
     bounds = np.array(sorted((r["k1"], r["k2"]) for r in found), dtype=[("k1", "<i8"), ("k2", "<i8")])
     if not len(bounds):
         return spark.createDataFrame([], _OUT_DDL)
     dealt = rows.mapInArrow(_dealer(bounds), "doc_id long, text string, k1 long, k2 long, part int, ahead boolean")
-    ordered = dealt.repartition(len(bounds), "part").sortWithinPartitions("part", "ahead", "k1", "k2")
+    ordered = dealt.repartition(2 * len(bounds), "part").sortWithinPartitions("part", "ahead", "k1", "k2")
     return ordered.select("doc_id", "text", "part", "ahead").mapInArrow(_chain, _OUT_DDL)
