@@ -2,8 +2,8 @@
 
 Texts become words (A-Z lower-cased).  Base phrases are looked up as runs of word hashes over whole
 slices of documents.  Signature rules are regular expressions over the words joined by single
-blanks; a rule runs on a document only if its keyword is among the document's words.  Detections
-are resolved by priority: one that lies within a stronger one (same interval: the earlier rule) is
+blanks; a rule runs on a document only if one of its keywords is among the document's words, and
+every match of a rule holds one of them as a word.  Detections are resolved by priority: one that lies within a stronger one (same interval: the earlier rule) is
 suppressed, so "apache license 2 0" does not also report "apache".
 """
 
@@ -29,16 +29,16 @@ BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rig
 
 @dataclass(frozen=True)
 class Signature:
-    """``pattern`` runs where ``keyword`` is a word; a higher ``priority`` suppresses what it contains."""
+    """``pattern`` runs where one of ``keywords``, joined by blanks, is a word; a higher ``priority`` suppresses what it contains."""
 
     label: str
-    keyword: str
+    keywords: str
     pattern: str
     priority: int
     weight: float
 
 
-# Hand-written signatures: label, keyword, priority, weight, pattern over normalised words.
+# Hand-written signatures: label, keywords, priority, weight, pattern over normalised words.
 _WRITTEN = (
     ("mit", "mit", 60, 0.9, r"mit licen[sc]ed?"),
     ("mit", "mit", 60, 0.9, r"licensed under (?:the )?mit"),
@@ -53,7 +53,7 @@ _WRITTEN = (
     ("bsd-3-clause", "bsd", 70, 1.0, r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: licen[sc]e)?"),
     ("bsd-4-clause", "bsd", 70, 1.0, r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[sc]e)?"),
     ("bsd", "redistribution", 90, 1.0, r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("0bsd", "0bsd", 70, 1.0, r"0bsd|zero clause bsd"),
+    ("0bsd", "0bsd zero", 70, 1.0, r"0bsd|zero clause bsd"),
     ("apache", "apache", 40, 0.7, r"apache (?:software )?licen[sc]ed?"),
     ("apache-1.1", "apache", 70, 1.0, r"apache (?:software )?licen[sc]e (?:version |v)?1 1"),
     ("apache-2.0", "apache", 70, 1.0, r"apache (?:software )?licen[sc]e (?:version |v )?v?2(?: 0)?"),
@@ -117,7 +117,7 @@ _WRITTEN = (
     ("beerware", "beerware", 60, 0.9, r"beerware(?: licen[sc]e)?"),
     ("proprietary", "proprietary", 40, 0.7, r"proprietary and confidential"),
     ("proprietary", "confidential", 40, 0.7, r"strictly confidential"),
-    ("proprietary", "unauthorized", 50, 0.8, r"unauthori[sz]ed (?:copying|use|reproduction|distribution)(?: of this file)? (?:via any medium )?is (?:strictly )?prohibited"),
+    ("proprietary", "unauthorized unauthorised", 50, 0.8, r"unauthori[sz]ed (?:copying|use|reproduction|distribution)(?: of this file)? (?:via any medium )?is (?:strictly )?prohibited"),
     ("proprietary", "permission", 50, 0.8, r"may not be (?:copied|reproduced|distributed)(?: or \S+)? without (?:the )?(?:prior )?(?:written )?permission"),
     ("reserved", "reserved", 20, 0.5, r"(?:all|some) rights reserved"),
     ("copyright", "copyright", 20, 0.4, r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)?"),
@@ -148,15 +148,16 @@ def _built() -> list[Signature]:
         out.append(Signature(family, family, family, 30, 0.7))
         for version in versions:
             number, label = rf"(?:version |v )?v?{version}(?: 0)?", f"{family}-{version.replace(' ', '.')}"
+            joined = " ".join([family, *(f"{family}{x}" for x in ("version", "v", f"v{version[0]}", version[0]))])  # gpl 3, gplversion 3, gplv 3, gplv3, gpl3
             out.append(Signature(label, "public", rf"(?:gnu )?{word}general public licen[sc]e {number}", 70, 1.0))
-            out.append(Signature(label, family, rf"(?:gnu )?{family} ?{number}", 60, 0.9))
+            out.append(Signature(label, joined, rf"(?:gnu )?{family} ?{number}", 60, 0.9))
             for tail, name in (("only", "only"), (r"or (?:\(?at your option\)? )?(?:any )?later(?: version)?", "or-later")):
                 out.append(Signature(f"{label}-{name}", "public", rf"(?:gnu )?{word}general public licen[sc]e {number} {tail}", 80, 1.0))
-                out.append(Signature(f"{label}-{name}", family, rf"(?:gnu )?{family} ?{number} {tail}", 75, 1.0))
+                out.append(Signature(f"{label}-{name}", joined, rf"(?:gnu )?{family} ?{number} {tail}", 75, 1.0))
     return out
 
 
-SIGNATURES = tuple(Signature(label, keyword, pattern, priority, weight) for label, keyword, priority, weight, pattern in _WRITTEN) + tuple(_built())
+SIGNATURES = tuple(Signature(label, keywords, pattern, priority, weight) for label, keywords, priority, weight, pattern in _WRITTEN) + tuple(_built())
 
 _in_word = np.zeros(256, dtype=bool)
 _in_word[0x30:0x3A] = _in_word[0x41:0x5B] = _in_word[0x61:0x7B] = _in_word[0x80:] = True
@@ -171,7 +172,9 @@ def _hash_word(word: str) -> np.uint64:
 def _compiled() -> dict[str, list[tuple[int, Signature, re.Pattern]]]:
     by_keyword: dict[str, list] = {}
     for i, s in enumerate(SIGNATURES):
-        by_keyword.setdefault(s.keyword, []).append((i, s, re.compile(rf"(?<!\S)(?:{s.pattern})(?!\S)")))
+        rule = (i, s, re.compile(rf"(?<!\S)(?:{s.pattern})(?!\S)"))
+        for keyword in s.keywords.split():
+            by_keyword.setdefault(keyword, []).append(rule)
     return by_keyword
 
 
@@ -201,8 +204,8 @@ def resolve(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 def detect(normalised: str, words: set[str]) -> list[tuple[int, int, int, int]]:
     """Resolved detections (first word, end word, priority, rule) in words joined by blanks."""
     by_keyword = _compiled()
-    spans = [(m.start(), m.end(), s.priority, i) for k in words & by_keyword.keys()
-             for i, s, p in by_keyword[k] for m in p.finditer(normalised)]
+    rules = {rule[0]: rule for k in words & by_keyword.keys() for rule in by_keyword[k]}  # once, whichever keywords call it
+    spans = [(m.start(), m.end(), s.priority, i) for i, s, p in rules.values() for m in p.finditer(normalised)]
     if not spans:
         return []
     blanks = [m.start() for m in re.finditer(" ", normalised)]

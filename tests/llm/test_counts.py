@@ -89,3 +89,54 @@ def test_licenses(docs, rows, empty):
 def test_resolve_keeps_the_stronger():
     assert license_scan.resolve([(0, 4, 70, 1), (1, 3, 40, 2), (3, 6, 40, 3)]) == [(0, 4, 70, 1), (3, 6, 40, 3)]
     assert len(license_scan.SIGNATURES) > 200
+
+
+def spellings(parsed):
+    """Strings that a parsed signature matches: each branch, each optional part with and without, one character of a class and each of a small one."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            part = [chr(arg)]
+        elif op == "SUBPATTERN":
+            part = spellings(arg[3])
+        elif op == "BRANCH":
+            part = [x for branch in arg[1] for x in spellings(branch)]
+        elif op == "MAX_REPEAT":
+            part = ([""] if arg[0] == 0 else []) + spellings(arg[2])
+        elif op == "IN":
+            part = [chr(a) for kind, a in arg if str(kind) == "LITERAL"] or ["7"]
+        else:
+            raise ValueError(op)
+        out = [a + b for a in out for b in part]
+    return out
+
+
+def test_license_prefilter_loses_nothing():
+    rules = [(i, s, re.compile(rf"(?<!\S)(?:{s.pattern})(?!\S)")) for i, s in enumerate(license_scan.SIGNATURES)]
+    n = 0
+    for i, s, pattern in rules:
+        for text in set(spellings(re._parser.parse(s.pattern))):
+            assert pattern.fullmatch(text), (s.label, text)
+            words = set(text.split())
+            assert words & set(s.keywords.split()), (s.label, text)
+            n += 1
+    assert n > 1000
+
+
+def test_license_scan_with_and_without_prefilter(spark):
+    texts = [x for s in license_scan.SIGNATURES for x in sorted(set(spellings(re._parser.parse(s.pattern))))[:40]]
+    texts += ["GPLv3", "GPLv2 only", "LGPLv2.1", "AGPLv3", "gpl3", "Zero-Clause BSD", "gplv2 or gpl 3", "nothing of the kind"]
+    want = []
+    for k, t in enumerate(texts):
+        words = re.findall("[0-9a-z]+", t.lower())
+        joined = " ".join(words)
+        found = [(joined[:m.start()].count(" "), joined[:m.end()].count(" ") + 1, s.priority, i) for i, s in enumerate(license_scan.SIGNATURES)
+                 for m in re.finditer(rf"(?<!\S)(?:{s.pattern})(?!\S)", joined)]
+        base = {label for phrase, label in license_scan.BASE_PHRASES if f" {phrase} " in f" {joined} "}
+        want.append((k, ",".join(sorted(base | {license_scan.SIGNATURES[i].label for *_, i in license_scan.resolve(found)}))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.document_licenses(docs).collect()}
+    assert [(k, got[k].labels) for k, _ in want] == want
+    assert [got[len(texts) - j].labels for j in range(8, 2, -1)] == ["gpl-3", "gpl-2-only", "lgpl-2.1", "agpl-3", "gpl-3", "0bsd"]
+    assert all(got[len(texts) - j].score > 0 for j in range(8, 1, -1)) and got[len(texts) - 1].score == 0
