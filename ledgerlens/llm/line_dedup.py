@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import small, stored
 
 MAX_EDITS = 2
-#: Shorter lines stay: two edits would join lines that have little in common.
+#: Shorter lines are not joined: two edits would join lines that have little in common.
 MIN_CHARS = 30
 
 
@@ -71,10 +71,13 @@ def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column
     return F.transform(F.filter(packed_keys(line, length, edits), lambda x: x.isNotNull()), spelled)
 
 
-def long_lines(docs: DataFrame) -> DataFrame:
-    """rid, line_no, line, n, h1, h2: every line of MIN_CHARS characters with its place and its digest."""
+_NOT_BLANK = r"[^\x20\x09-\x0D]"
+
+
+def long_lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """rid, line_no, line, n, h1, h2: every line of MIN_CHARS characters, or not blank with ``short``, with its place and its digest."""
     rows = docs.select("rid", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("n", F.char_length("line"))
-    return rows.where(F.col("n") >= MIN_CHARS).select("rid", "line_no", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return rows.where(F.col("line").rlike(_NOT_BLANK) if short else F.col("n") >= MIN_CHARS).select("rid", "line_no", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 #: Letters whose counts are compared before texts are: fixed values, frequent in many languages.
@@ -184,16 +187,17 @@ def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     return stored(both.where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits).select("a", "b"), "near_lines")
 
 
-def removed_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+def removed_lines(docs: DataFrame, edits: int = MAX_EDITS, short: bool = False) -> DataFrame:
     """(doc_id, version, n_lines, removed): the numbers, from 0, of the lines of each document that go.
 
     A document is a doc_id with a text (``version`` is the text's hash): rows that repeat both are
-    one document.  Only documents with a line of MIN_CHARS characters have a row.
+    one document.  Only documents with a line of MIN_CHARS characters have a row.  With ``short``,
+    shorter lines that are not blank are judged as well, by exact equality alone.
     """
     rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")).alias("rid"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    lines = long_lines(rows)
-    pairs = near_pairs(lines, edits)
+    lines = long_lines(rows, short)
+    pairs = near_pairs(lines.where(F.col("n") >= MIN_CHARS), edits)
     first = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("rid", "line_no")).alias("first")).select("h1", "first"), "first_places")
     a, b = first.select(F.col("h1").alias("a"), F.col("first").alias("fa")), first.select(F.col("h1").alias("b"), F.col("first").alias("fb"))
     later = pairs.join(a, "a").join(b, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
@@ -226,9 +230,11 @@ def document_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
 def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """The rows of ``docs`` without the lines that go; n_chars, where there is one, counts anew.
 
-    A row that had words and has none left goes as a whole.  Untouched rows stay as they are.
+    Lines of any length go where an earlier one equals them, those of MIN_CHARS also where it is
+    near: of a copied document nothing is left.  A row that had words and has none left goes as a
+    whole.  Untouched rows stay as they are.
     """
-    found = stored(removed_lines(docs, edits).where(F.size("removed") > 0).select("doc_id", "version", "removed"), "removed")
+    found = stored(removed_lines(docs, edits, short=True).where(F.size("removed") > 0).select("doc_id", "version", "removed"), "removed")
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     rows = rows.withColumn("version", F.xxhash64(F.coalesce("row.text", F.lit(""))))
     found = small(found)
@@ -239,7 +245,7 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         return F.array_join(F.transform(index, lambda i: F.get(lines, i)), "\n")
 
     shorter = joined.select("row", F.when(F.col("removed").isNotNull(), _let(F.split("row.text", "\n"), kept)).alias("left"))
-    shorter = shorter.where(F.col("left").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    shorter = shorter.where(F.col("left").isNull() | F.col("left").rlike(_NOT_BLANK))
     changed = F.col("row").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
         changed = changed.withField("n_chars", F.char_length("left").cast(docs.schema["n_chars"].dataType))

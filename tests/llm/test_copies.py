@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import components, line_dedup, ngram_join, passage_dedup, suffix_dedup
 
-from .conftest import prose
+from .conftest import lines_of, prose
 
 
 def key(x):
@@ -191,3 +191,13 @@ def test_passages(docs, empty, spark):
     texts = [(i, " ".join(prose(2000 + i, 40 + i % 30) + (passages[i % 20] if i < 100 else []) + prose(3000 + i, 37))) for i in range(160)]
     found = {r.doc_id for r in passage_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert found == set(range(20, 100))
+
+
+def test_short_lines_and_copied_documents(spark):
+    """Exact repeats go whatever their length; of a copy no fragment is left; short lines are not joined by edits."""
+    body = lines_of(prose(70, 48))
+    texts = [(1, f"Heading\n{body}\n\nend."), (2, f"Heading\n{body}\n\nend."), (3, "Heading\n" + lines_of(prose(71, 24)) + "\n\nend!"),
+             (4, "Menu\n \nMenu\nHeading"), (5, "Heading"), (6, "  \n\n"), (7, None), (8, f"Heading\n{body}\nend. x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: texts[0][1], 3: texts[2][1].removeprefix("Heading\n"), 4: "Menu\n ", 6: "  \n\n", 7: None, 8: "end. x"}
