@@ -188,8 +188,8 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b")).distinct()
 
 
-def linked_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
-    """doc_id, version (hash of the text), n_shingles, component_id for every row of ``docs`` (columns doc_id and text are read).
+def linked_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT, grouped: bool = False) -> DataFrame:
+    """doc_id, version (hash of the text), n_shingles, component_id, and component if ``grouped``, for every row of ``docs`` (columns doc_id and text are read).
 
     Two documents link when 100 * |A and B| >= pct * |A or B| on their sets of distinct k-word
     shingles (words split at ASCII white space, A-Z lower-cased; a text of 1 to k-1 words has its
@@ -197,6 +197,8 @@ def linked_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHO
     document's own included.  Null, empty and blank texts have no shingles and link with nothing.
     Repeated doc_ids are rows of their own; a null doc_id is never the smallest but among nulls.
     Texts are read whole; other columns are ignored.  An empty table gives an empty table.
+    component numbers the groups (groups of versions can share their smallest doc_id); it is null
+    where a document shares no shingle.
     """
     sets = shingle_sets(docs, k, pct)
     live = sets.where(F.size("tokens") > 0)
@@ -241,11 +243,13 @@ def linked_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHO
     found = (copies.join(component, copies["rep"] == component["node"], "left")
              .select("n", "d1", "d2", "first_id", F.coalesce("component", "rep").alias("component")))
     ids = found.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = stored(found.join(ids, "component").select("n", "d1", "d2", "component_id"), "classes")
+    group = ["component"] if grouped else []
+    classes = stored(found.join(ids, "component").select("n", "d1", "d2", "component_id", *group), "classes")
     rows = sets.select("doc_id", "version", "n", "d1", "d2", (F.size("tokens") > 0).alias("live"))
     columns = ["doc_id", "version", F.col("n").alias("n_shingles")]
-    joined = rows.where("live").join(classes, ["n", "d1", "d2"]).select(*columns, "component_id")
-    return joined.unionByName(rows.where("not live").select(*columns, F.col("doc_id").alias("component_id")))
+    joined = rows.where("live").join(classes, ["n", "d1", "d2"]).select(*columns, "component_id", *group)
+    alone = [F.lit(None).cast("long").alias(c) for c in group]
+    return joined.unionByName(rows.where("not live").select(*columns, F.col("doc_id").alias("component_id"), *alone))
 
 
 def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
@@ -256,12 +260,14 @@ def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESH
 def keep_one_of_each_group(docs: DataFrame, k: int = SHINGLE_WORDS, pct: int = THRESHOLD_PCT) -> DataFrame:
     """The rows of ``docs`` of which no earlier near copy exists, with their columns as they are.
 
-    Of each group of linked documents the one with the smallest doc_id stays; of rows that repeat
-    doc_id and text, one.  Rows with one doc_id and different texts are versions of one document
-    and are judged each by its own links.
+    Of each group of linked documents the one with the smallest doc_id stays (null ids come last, of
+    equal ids the smallest hash of the text); of rows that repeat doc_id and text, one.  Rows with one
+    doc_id and different texts are versions of one document and are judged each by its own links.
     """
-    linked = stored(linked_documents(docs, k, pct), "linked")
-    gone = stored(linked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "version").distinct(), "gone")
+    linked = stored(linked_documents(docs, k, pct, grouped=True), "linked")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version")
+    first = stored(linked.where("component is not null").groupBy("component").agg(F.min(place).alias("first")), "first_places")
+    gone = stored(linked.join(small(first), "component").where(place != F.col("first")).select("doc_id", "version").distinct(), "gone")
     repeated = stored(linked.groupBy("doc_id", "version").agg(F.count("*").alias("m")).where("m > 1").select("doc_id", "version"), "repeated")
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     rows = rows.withColumn("version", F.xxhash64(F.coalesce("row.text", F.lit(""))))

@@ -201,3 +201,18 @@ def test_short_lines_and_copied_documents(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {1: texts[0][1], 3: texts[2][1].removeprefix("Heading\n"), 4: "Menu\n ", 6: "  \n\n", 7: None, 8: "end. x"}
+
+
+def test_one_of_each_group_by_id_and_version(spark):
+    """Near copies under one doc_id, and a group in which no doc_id is known, keep one row each."""
+    base, other, third = prose(80, 60), prose(81, 60), prose(82, 60)
+    edited = lambda w, k: " ".join(w[:k] + ["changed"] + w[k + 1:])
+    texts = [(5, " ".join(base)), (5, edited(base, 0)), (6, edited(base, 1)), (None, edited(base, 59)), (5, " ".join(third)),
+             (None, " ".join(other)), (None, edited(other, 0)), (None, edited(other, 59)), (7, " ".join(prose(83, 60))), (None, None), (8, "")]
+    for rows in (texts, [*texts, *texts[:2]]):
+        kept = [tuple(r) for r in ngram_join.keep_one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert len(set(kept)) == len(kept) and set(kept) <= set(texts)
+        groups = [texts[:4], texts[5:8]]
+        assert [sum(k in g for k in kept) for g in groups] == [1, 1]
+        assert [k[0] for k in kept if k in texts[:4]] == [5]
+        assert {texts[4], texts[8], texts[9], texts[10]} <= set(kept)
