@@ -7,10 +7,13 @@
    by hash: all copies of a window meet in one bucket.  A bucket sorts the suffixes that start its
    windows and keeps the common prefixes of neighbours: an enhanced suffix array.  Its intervals
    with a common prefix of LENGTH are the strings that occur twice; every occurrence but the first
-   goes.  Scanning the intervals with a stack, and testing whether the bytes before their
-   occurrences differ, gives the maximal repeats with all occurrences (``maximal_repeats``).
+   goes.  Longer intervals lie within these, so the query groups by the prefix alone.
 3. *Cutting.*  The slices get the byte ranges back and unite them.
 
+``maximal_repeats`` is beside the query: from the intervals whose occurrences have different bytes
+before them it follows the text onwards, in rounds, and scans the tree of what they have in common
+with a stack: maximal repeats in full length, with all occurrences.
+
 Equal surroundings of an anchor within a slice are sent once.  Anchors in more than HOT places
 don't gather their surroundings in one bucket: their windows go to buckets one by one, by hash.
 """
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textops as T
-from ledgerlens.llm.common import bucket_count, ship_code, stored, text_bytes
+from ledgerlens.llm.common import bucket_count, ship_code, small, stored, text_bytes
 
 LENGTH = 100
 K = 32
@@ -36,6 +40,8 @@ SLICE_BYTES = 1 << 20
 #: Text behind a bucket, about; anchors and their surroundings are a fraction of it.
 BUCKET_BYTES = 2 << 20
 HOT = 20_000
+#: Bytes of text that a round of ``maximal_repeats`` follows; four times more in the next, up to the last.
+FOLLOWED, MOST_FOLLOWED = 1 << 8, 1 << 14
 _POS_BITS = 28
 
 _SLICES = pa.schema([("slice", pa.int64()), ("facts", pa.binary()), ("bytes", pa.binary())])
@@ -44,9 +50,11 @@ _FLAGS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("flags", pa.
 _WINDOWS = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("kind", pa.int32()), ("docs", pa.binary()), ("items", pa.binary()),
                       ("bytes", pa.binary())])
 _RANGES = pa.schema([("slice", pa.int64()), ("ranges", pa.binary())])
-_GROUPS = pa.schema([("group_id", pa.string()), ("length", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64())])
+_PLACES = pa.schema([("node", pa.binary()), ("length", pa.int64()), ("slice", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()),
+                     ("before", pa.int32()), ("open", pa.bool_())])
+_TEXTS = pa.schema([*[f for f in _PLACES if f.name != "open"], ("text", pa.binary())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-_DDL = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.string(): "string"}
+_DDL = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.string(): "string", pa.bool_(): "boolean"}
 
 _FACT = np.dtype([("doc_id", "<i8"), ("null", "<i8"), ("length", "<i8")])
 _DOC = np.dtype([("order", "<i8"), ("rid", "<i8")])  # a null id comes before all others
@@ -181,8 +189,11 @@ def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return item, first[item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _send_windows(n_buckets: int):
-    """One slice with its flags: the surroundings of shared anchors (kind 0), the windows of hot ones (1), local repeats (2)."""
+def _send_windows(n_buckets: int, every: bool = False):
+    """One slice with its flags: the surroundings of shared anchors (kind 0), the windows of hot ones (1), local repeats (2).
+
+    With ``every``, equal surroundings are sent each, and no repeat is local.
+    """
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -213,7 +224,7 @@ def _send_windows(n_buckets: int):
             shared = np.flatnonzero(flag == 1)
             if len(shared):
                 begin, end = first[shared], first[shared] + windows[shared] + LENGTH - 1
-                new = earliest(T.span_hashes(sums, begin, end), begin)
+                new = np.ones(len(shared), bool) if every else earliest(T.span_hashes(sums, begin, end), begin)
                 copies = shared[~new]
                 item, start = _expand(first[copies], windows[copies])
                 local.append(_ranges(doc[copies][item], start - offsets[doc[copies]][item]))
@@ -222,7 +233,7 @@ def _send_windows(n_buckets: int):
                 shared = shared[o]
                 context = np.zeros(len(shared), _CONTEXT)
                 context["doc"], context["windows"], context["start"] = doc[shared], windows[shared], first[shared] - offsets[doc[shared]]
-                context["before"] = np.where(context["start"] > 0, buf[np.maximum(first[shared] - 1, 0)], -1)
+                context["before"] = np.where(context["start"] > 0, buf[np.maximum(first[shared] - 1, 0)].astype(np.int16), -1)
                 size = windows[shared] + LENGTH - 1
                 for b, i, j in runs:
                     used, context["doc"][i:j] = np.unique(context["doc"][i:j], return_inverse=True)
@@ -289,7 +300,6 @@ class SuffixArray:
         self.row, self.local = self.owner[self.item], context["doc"].astype(np.int64)[self.item]
         self.order = rank[doc[self.item]] << 32 | self.start
         self.doc = table["order"][doc[self.item]]
-        self.end = (begin + size)[self.item]
         at_edge = self.place == begin[self.item]
         self.before = np.where(at_edge, context["before"].astype(np.int64)[self.item], self.buf[np.maximum(self.place - 1, 0)].astype(np.int64))
 
@@ -309,36 +319,19 @@ class SuffixArray:
         least = np.minimum.reduceat(self.order, edges)
         return self.order > least[np.cumsum(self.begins) - 1]
 
-    def common(self, a: int, b: int) -> int:
-        """Bytes that two suffixes have in common, as far as their surroundings go."""
-        i, j, n = int(self.place[a]), int(self.place[b]), int(min(self.end[a] - self.place[a], self.end[b] - self.place[b]))
-        differ = np.flatnonzero(self.buf[i:i + n] != self.buf[j:j + n])
-        return int(differ[0]) if len(differ) else n
-
-    def maximal(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(length, suffixes) of the intervals of the common-prefix tree whose left extensions differ.
+    def varied(self) -> Iterator[np.ndarray]:
+        """The suffixes of each run of equal prefixes with different bytes before them, or the start of a document.
 
-        Only runs of equal prefixes with different bytes before them, or the start of a document,
-        are scanned: where all have the same byte, so has every interval within.
+        Where all have the same byte before them, so has every longer repeat within.
         """
         edges = np.flatnonzero(self.begins)
-        ends = np.r_[edges[1:], len(self.begins)]
         if not len(edges):
             return
-        varied = (np.minimum.reduceat(self.before, edges) != np.maximum.reduceat(self.before, edges)) | (np.minimum.reduceat(self.before, edges) < 0)
-        for a, b in zip(edges[varied & (ends - edges > 1)].tolist(), ends[varied & (ends - edges > 1)].tolist()):
-            inner = sorted(range(a, b), key=lambda s: self.buf[self.place[s]:self.end[s]].tobytes())
-            prefixes = [self.common(x, y) for x, y in zip(inner, inner[1:])]
-            stack: list[tuple[int, int]] = []  # (common prefix, left end) of open intervals
-            for i, p in enumerate([*prefixes, -1]):
-                left = i
-                while stack and stack[-1][0] > p:
-                    length, left = stack.pop()
-                    members = np.array(inner[left:i + 1])
-                    if len(np.unique(self.before[members])) > 1 or (self.before[members] < 0).any():
-                        yield length, members
-                if p >= LENGTH and (not stack or stack[-1][0] < p):
-                    stack.append((p, left))
+        ends = np.r_[edges[1:], len(self.begins)]
+        least = np.minimum.reduceat(self.before, edges)
+        chosen = ((least != np.maximum.reduceat(self.before, edges)) | (least < 0)) & (ends - edges > 1)
+        for a, b in zip(edges[chosen].tolist(), ends[chosen].tolist()):
+            yield np.arange(a, b)
 
 
 def _find(table: pa.Table) -> pa.Table:
@@ -391,26 +384,77 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out, _OUT)])
 
 
-def _groups(table: pa.Table) -> pa.Table:
+def _first_places(table: pa.Table) -> pa.Table:
+    """One bucket: the occurrences of its varied windows, a node for each window."""
     near = [r for r in table.to_pylist() if r["kind"] == 0]
-    out = []
+    out: list[tuple] = []
     if near:
         array = SuffixArray(near)
-        null = np.iinfo(np.int64).min
-        for length, members in array.maximal():
+        docs = [(np.frombuffer(r["docs"], _DOC)["rid"] & 0xFFFF).tolist() for r in near]
+        for members in array.varied():
             a = int(array.place[members[0]])
-            name = hashlib.sha256(array.buf[a:a + length].tobytes()).hexdigest()
-            out += [(name, length, None if array.doc[m] == null else int(array.doc[m]), int(array.start[m])) for m in members.tolist()]
-    return pa.Table.from_batches([_batch(out, _GROUPS)])
+            node = hashlib.sha256(array.buf[a:a + LENGTH].tobytes()).digest()
+            for row, local, start, before in zip(*(x[members].tolist() for x in (array.row, array.local, array.start, array.before))):
+                out.append((node, LENGTH, near[row]["slice"], docs[row][local], None, start, before, True))
+    return pa.Table.from_batches([_batch(out, _PLACES)])
+
+
+def _next_bytes(at: int, size: int):
+    """One slice with its open places: the text from ``at`` bytes behind each place on, ``size`` bytes or up to the document's end."""
+
+    def read(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        for row in left.to_pylist():
+            facts, buf, offsets = _open(row["facts"], row["bytes"])
+            for p in right.to_pylist():
+                d = p["doc"]
+                begin, end = int(offsets[d]) + p["start"] + at, int(offsets[d + 1])
+                doc_id = None if facts["null"][d] else int(facts["doc_id"][d])
+                out.append((p["node"], at, p["slice"], d, doc_id, p["start"], p["before"], buf[begin:min(begin + size, end)].tobytes()))
+        return pa.Table.from_batches([_batch(out, _TEXTS)])
+
+    return read
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Bytes that two texts begin with alike."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+
+
+def _split(at: int, size: int):
+    """One bucket: of each node the repeats that end within the text just read; places with all of it in common are open nodes again."""
+
+    def split(table: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        for node, group in groupby(sorted(table.to_pylist(), key=lambda r: (r["node"], r["text"])), key=lambda r: r["node"]):
+            members = list(group)
+            prefixes = [_common(x["text"], y["text"]) for x, y in zip(members, members[1:])]
+            stack: list[tuple[int, int]] = []  # (common prefix, left end) of open intervals
+            for i, p in enumerate([*prefixes, -1]):
+                left = i
+                while stack and stack[-1][0] > p:
+                    common, left = stack.pop()
+                    before = {r["before"] for r in members[left:i + 1]}
+                    if len(before) > 1 or -1 in before:
+                        name = hashlib.sha256(node + members[i]["text"][:common]).digest()
+                        out += [(name, at + common, r["slice"], r["doc"], r["doc_id"], r["start"], r["before"], common == size) for r in members[left:i + 1]]
+                if p >= 0 and (not stack or stack[-1][0] < p):
+                    stack.append((p, left))
+        return pa.Table.from_batches([_batch(out, _PLACES)])
+
+    return split
 
 
-def _prepared(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, int]:
+def _prepared(docs: DataFrame, hot: int, every: bool = False) -> tuple[DataFrame, DataFrame, int]:
     spark = docs.sparkSession
     ship_code(spark)
     n_buckets = min(1 << 22, bucket_count(spark, text_bytes(docs), BUCKET_BYTES))
     slices = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_slice_documents, _ddl(_SLICES)), "slices")
     flags = slices.mapInArrow(_send_anchors(n_buckets), _ddl(_ANCHORS)).groupBy("bucket").applyInArrow(_count_anchors(hot), _ddl(_FLAGS))
-    windows = slices.groupBy("slice").cogroup(flags.groupBy("slice")).applyInArrow(_send_windows(n_buckets), _ddl(_WINDOWS))
+    windows = slices.groupBy("slice").cogroup(flags.groupBy("slice")).applyInArrow(_send_windows(n_buckets, every), _ddl(_WINDOWS))
     return slices, windows, n_buckets
 
 
@@ -428,10 +472,22 @@ def document_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def maximal_repeats(docs: DataFrame) -> DataFrame:
-    """(group_id, length, doc_id, start): repeats of LENGTH bytes or more whose left extensions differ, with all occurrences.
+    """(group_id, length, doc_id, start): repeats of LENGTH bytes or more that neither side extends, with all occurrences.
 
-    Each repeat is followed as far as the windows of one anchor reach (up to LENGTH - K bytes more);
-    a group is the digest of the common bytes.  Identical surroundings within a slice count once.
+    The occurrences of a group differ in the byte before them, and in the byte behind them; the ends
+    of a document differ from all bytes and from each other.  A group is the digest of the common
+    bytes, taken round by round.  Rows that repeat an id are occurrences each.  Repeats within
+    repeats are groups too, so a text of short period gives groups whose members grow with the
+    square of its length.  The occurrences of one window meet in one task.
     """
-    _, windows, _ = _prepared(docs, 1 << 62)
-    return windows.groupBy("bucket").applyInArrow(_groups, _ddl(_GROUPS)).distinct()
+    slices, windows, n_buckets = _prepared(docs, 1 << 62, every=True)
+    places = stored(windows.groupBy("bucket").applyInArrow(_first_places, _ddl(_PLACES)), "places")
+    out, at, size = places.where("not open"), LENGTH, FOLLOWED
+    while not (open_ := places.where("open")).isEmpty():
+        touched = slices.join(small(open_.select("slice").distinct()), "slice", "left_semi")
+        texts = touched.groupBy("slice").cogroup(open_.groupBy("slice")).applyInArrow(_next_bytes(at, size), _ddl(_TEXTS))
+        buckets = texts.groupBy(F.pmod(F.xxhash64("node"), F.lit(n_buckets)).alias("bucket"))
+        places = stored(buckets.applyInArrow(_split(at, size), _ddl(_PLACES)), "places")
+        out = out.unionByName(places.where("not open"))
+        at, size = at + size, min(4 * size, MOST_FOLLOWED)
+    return out.select(F.lower(F.hex("node")).alias("group_id"), "length", "doc_id", "start")

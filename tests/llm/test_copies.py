@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import components, line_dedup, ngram_join, passage_dedup, suffix_dedup
+from ledgerlens.llm.common import stored
 
 from .conftest import lines_of, prose
 
@@ -216,3 +217,39 @@ def test_one_of_each_group_by_id_and_version(spark):
         assert [sum(k in g for k in kept) for g in groups] == [1, 1]
         assert [k[0] for k in kept if k in texts[:4]] == [5]
         assert {texts[4], texts[8], texts[9], texts[10]} <= set(kept)
+
+
+def brute_maximal(texts, length=100):
+    """{(length, places)}: what a pair of places with other bytes, or an end, on both sides has in common, with all its places."""
+    data, places, found, out = {i: t.encode() for i, t in texts}, {}, set(), set()
+    for i, b in data.items():
+        for s in range(len(b) - length + 1):
+            places.setdefault(b[s:s + length], []).append((i, s))
+    for same in places.values():
+        for k, (i, s) in enumerate(same):
+            for j, u in same[:k]:
+                if s == 0 or u == 0 or data[i][s - 1] != data[j][u - 1]:
+                    n = length
+                    while s + n < len(data[i]) and u + n < len(data[j]) and data[i][s + n] == data[j][u + n]:
+                        n += 1
+                    found.add(data[i][s:s + n])
+    for w in found:
+        out.add((len(w), frozenset((i, s) for i, s in places[w[:length]] if data[i][s:s + len(w)] == w)))
+    return out
+
+
+def test_maximal_repeats_are_whole(spark):
+    """Repeats far longer than a window, within a slice and across, nested, periodic, and at the ends of documents."""
+    long, inner = " ".join(prose(90, 400)), " ".join(prose(91, 50))
+    texts = [(1, long + " tail"), (2, "x " + long), (3, "copied " + inner), (4, "copied " + inner), (5, f"{inner} mid {inner} end"), (6, long[300:900] + "!"),
+             (7, "abc" * 60), (8, long), (9, "z" + "abc" * 50), (10, "é" * 40), (11, "alone " + " ".join(prose(92, 60)))]
+    want = brute_maximal(texts)
+    assert max(n for n, _ in want) == len(long.encode()) > 1000
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for parts in (1, 4):
+        groups = {}
+        for r in suffix_dedup.maximal_repeats(stored(docs.repartition(parts), "test_repeats")).collect():
+            groups.setdefault((r.group_id, r.length), []).append((r.doc_id, r.start))
+        assert all(len(set(v)) == len(v) for v in groups.values()) and len(groups) == len(want)
+        assert {(n, frozenset(v)) for (_, n), v in groups.items()} == want
+    assert suffix_dedup.maximal_repeats(docs.limit(0)).count() == 0
