@@ -5,8 +5,8 @@ insertions, deletions or replacements of it.  Two lines that near share one of e
 of the shorter one exactly, at a place that the lengths and the segment's number allow; so every
 distinct line is indexed by its segments, probes the lengths up to ``edits`` below its own with
 the few substrings that can match, and candidates are verified by a banded bit-parallel edit
-distance.  A segment that many lines share is joined by a longer key: of two lines that agree in
-it, what is left still splits into segments of which one agrees.
+distance.  Lines that share a segment are paired with each other before the letter filter: a
+segment that m distinct lines of like length share gives about m * m / 2 pairs.
 """
 
 from __future__ import annotations
