@@ -18,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written as Parquet in the shared checkpoint folder, and read back.
 

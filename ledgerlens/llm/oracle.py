@@ -6,7 +6,7 @@ held to brute-force versions in ``tests/llm`` instead.
 
 from __future__ import annotations
 
-from ledgerlens.llm import line_dedup, quality_rules, secret_scan
+from ledgerlens.llm import lexical_search, line_dedup, quality_rules, secret_scan, spelling_variants
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -96,10 +96,60 @@ def _quality() -> str:
     """
 
 
+# 11: every document is scored for every item that shares a term with it
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_RANKED = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(_LOWER)} AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS N, sum(len(ts))::BIGINT AS L FROM d),
+tf AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(ts) AS x FROM d) GROUP BY ALL),
+w AS (SELECT x, floor(1000 * ln((2 * (SELECT N FROM s) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf GROUP BY x),
+m AS (SELECT r, doc_id, 10 + (90 * len(ts) * (SELECT N FROM s)) // (SELECT L FROM s) AS m FROM d WHERE len(ts) > 0),
+q AS (SELECT k, item_id, unnest(list_distinct({_TERMS.format(_LOWER)})) AS x FROM (SELECT row_number() OVER () AS k, * FROM benchmark)),
+p AS (SELECT k, item_id, m.r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN tf USING (x) JOIN w USING (x) JOIN m ON m.r = tf.r GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM
+  (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+WHERE rank <= {lexical_search.TOP}
+"""
+
+# 12: near words meet in what is left after one deletion at one place; crc32 by its table, made by the usual rule
+_SPELLING = rf"""
+WITH RECURSIVE c0(i, k, c) AS (SELECT i, 0, i::BIGINT FROM range(256) t(i)
+                     UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM c0 WHERE k < 8),
+ct AS (SELECT list(c ORDER BY i) AS c FROM c0 WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS x FROM documents),
+g AS (SELECT doc_id, x, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || x)) AS b FROM runs
+      WHERE length(x) >= {spelling_variants.MIN_CHARS} GROUP BY doc_id, x),
+h AS (SELECT x, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || substr(b, 2 * j + 1, 2))::BIGINT for j in range(length(b) // 2)]),
+             lambda a, e: xor(a >> 8, c[(xor(a, e) & 255) + 1])), 4294967295) AS h FROM g, ct),
+y AS (SELECT CASE WHEN h % {spelling_variants.DELETE_EACH} = 0 THEN substr(x, 1, (h % length(x))::BIGINT) || substr(x, (h % length(x))::BIGINT + 2) ELSE x END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM y WHERE length(word) >= {spelling_variants.MIN_CHARS} GROUP BY word HAVING sum(n) >= {spelling_variants.MIN_COUNT}),
+v AS (SELECT word, n, j, substr(word, 1, j - 1) || substr(word, j + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS j FROM w)),
+e0 AS (SELECT a.word AS a, a.n AS na, b.word AS b, b.n AS nb FROM v a JOIN v b ON a.j = b.j AND a.less = b.less AND a.word <> b.word
+       UNION SELECT w.word, w.n, v.word, v.n FROM w JOIN v ON v.less = w.word
+       UNION SELECT v.word, v.n, w.word, w.n FROM w JOIN v ON v.less = w.word),
+f AS (SELECT a AS word, count(*) AS n_near, min({{'n': -nb, 'w': encode(b)}}) AS best FROM e0 GROUP BY a),
+k AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= {spelling_variants.FORM_FACTOR} * w.n THEN decode(best.w) END AS form,
+             CASE WHEN -best.n >= {spelling_variants.FORM_FACTOR} * w.n THEN -best.n END AS form_n FROM w LEFT JOIN f USING (word)),
+t(word, root, next) AS (SELECT word, word, form FROM k UNION ALL SELECT t.word, k.word, k.form FROM t JOIN k ON k.word = t.next)
+SELECT k.word, k.form, t.root, k.n, k.n_near, k.form_n FROM k JOIN t ON t.word = k.word AND t.next IS NULL
+"""
+
+_COPIES = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r DESC) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_ngram_jaccard_join": _NGRAM,
         "op3_line_dedup": _LINES,
         "op6_secret_scan": _secrets(),
         "op9_quality_rules": _quality(),
+        "op11_ranked_search": _RANKED,
+        "op12_spelling_variants": _SPELLING,
+        "op13_exact_dedup": _COPIES,
     }

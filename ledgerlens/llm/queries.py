@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, fingerprints, license_scan, line_dedup, mixing, ngram_join, passage_dedup, quality_rules, secret_scan, suffix_dedup
-from ledgerlens.llm.common import documents
+from ledgerlens.llm import (bpe, exact_dedup, fingerprints, lexical_search, license_scan, line_dedup, mixing, ngram_join,
+                            passage_dedup, quality_rules, secret_scan, spelling_variants, suffix_dedup)
+from ledgerlens.llm.common import benchmark, documents
 
 #: Where the public tokenizer files are; never copied here.
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -59,6 +60,18 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -70,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_exact_dedup": op13_exact_dedup,
 }
