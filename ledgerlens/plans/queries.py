@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import config
@@ -258,10 +258,19 @@ def q_assemble_features(spark, sf):
 
 
 def _model(spark, sf, estimator_factory):
+    """A model on the full settings; the second-order booster follows PR-AUC on the test rows by round."""
     from ledgerlens.operators import models
-    train, _ = _encoded_sets(spark, sf)
+    train, test = _encoded_sets(spark, sf)
+    valid = test if estimator_factory == "boosted_b" else None
     return ds.fitted_model(spark, sf, estimator_factory,
-                           lambda: models.fit(train, getattr(models, estimator_factory)()))
+                           lambda: models.fit(train, getattr(models, estimator_factory)(), valid))
+
+
+def _side_by_side(of, factories):
+    """``of`` each factory's name; fits do not depend on each other, so they run at once."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(len(factories)) as pool:
+        return list(pool.map(of, factories))
 
 
 def _predictions(spark, sf, estimator_factory):
@@ -284,25 +293,49 @@ def _score_rows(estimator_factory):
 
 
 def q_feature_importance(spark, sf):
-    """Importances of both boosters, all features, largest first."""
+    """Total gain by feature of both boosters, all features, largest first; summed while the trees were grown."""
     from ledgerlens.operators import models
-    both = [models.feature_importance(_model(spark, sf, factory), top=None).withColumn("Model", F.lit(name))
-            for name, factory in (("gbt_a", "boosted_a"), ("gbt_b", "boosted_b"))]
+    _encoded_sets(spark, sf)
+    fitted = _side_by_side(lambda f: _model(spark, sf, f), ["boosted_a", "boosted_b"])
+    both = [models.feature_importance(m, top=None).withColumn("Model", F.lit(name)) for name, m in zip(("gbt_a", "gbt_b"), fitted)]
     return both[0].unionByName(both[1])
 
 
+def _rounds(estimator_factory):
+    """The ledger of a booster's rounds: leaves, rows in them, training loss, PR-AUC on validation rows."""
+    return lambda spark, sf: _model(spark, sf, estimator_factory).stages[-1].ledger(spark)
+
+
+def _round_checks(spark, sf, estimator_factory, max_leaves, row_share):
+    """What SQL can know of the rounds: rows in leaves, limits, and the loss of the model without trees."""
+    rounds = _rounds(estimator_factory)(spark, sf)
+    before = F.lag("loss").over(Window.orderBy("round"))  # 301 rows
+    n = rounds.join(F.broadcast(_encoded_sets(spark, sf)[0].agg(F.count(F.lit(1)).alias("n_train"))))  # one row
+    held = (F.col("n_rows") == F.col("n_train")) if row_share == 1 else (F.abs(F.col("n_rows") / F.col("n_train") - row_share) < 0.05)
+    return n.select("round", "n_train", ((F.col("round") == 0) | held).alias("rows_in_leaves"),
+                    (F.col("n_leaves") <= max_leaves).alias("leaves_in_limit"),
+                    F.coalesce(F.col("loss") < before, F.lit(True)).alias("loss_falls"),
+                    F.when(F.col("round") == 0, F.round("loss", 4)).alias("first_loss"))
+
+
+def q_gbt_a_round_checks(spark, sf):
+    return _round_checks(spark, sf, "boosted_a", config.GBT_A_LEAVES, 1)
+
+
+def q_gbt_b_round_checks(spark, sf):
+    return _round_checks(spark, sf, "boosted_b", 1 << config.GBT_B_MAX_DEPTH, config.GBT_B_SUBSAMPLE)
+
+
 def q_model_comparison_trained(spark, sf):
     """Comparison over the trained models, as the source pipeline reports it: tiers are tuned on
     the leaf-wise booster's test scores and reused for the depth-wise one; the forest gets none."""
-    from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
 
     from ledgerlens.operators import report
     bounds = _boundaries(spark, sf)
     factories = {"random_forest": "random_forest", "gbt_a": "boosted_a", "gbt_b": "boosted_b"}
     _encoded_sets(spark, sf)  # stored before the fits, which do not depend on each other, run side by side
-    with ThreadPoolExecutor(len(factories)) as pool:
-        preds = dict(zip(factories, pool.map(lambda f: _predictions(spark, sf, f), factories.values())))
+    preds = dict(zip(factories, _side_by_side(lambda f: _predictions(spark, sf, f), list(factories.values()))))
     tier_table = tiers.tier_thresholds(tiers.with_tier(preds["gbt_a"], bounds))
     rows = [report.model_comparison(preds["random_forest"], "random_forest"),
             report.model_comparison(preds["gbt_a"], "gbt_a", tier_table, bounds),
@@ -369,6 +402,10 @@ QUERIES: dict[str, Query] = {
     "rf_score_rows": _score_rows("random_forest"),
     "gbt_a_score_rows": _score_rows("boosted_a"),
     "gbt_b_score_rows": _score_rows("boosted_b"),
+    "gbt_a_rounds": _rounds("boosted_a"),
+    "gbt_b_rounds": _rounds("boosted_b"),
+    "gbt_a_round_checks": q_gbt_a_round_checks,
+    "gbt_b_round_checks": q_gbt_b_round_checks,
     "feature_importance": q_feature_importance,
     "model_comparison_trained": q_model_comparison_trained,
     "sql_class_distribution": _sql("class_distribution"),
