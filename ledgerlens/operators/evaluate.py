@@ -7,10 +7,9 @@ columns (amount, tier, model) ride along.
   (two counters per threshold) over the rows: one pass, map-side partial
   aggregation, no join against the threshold grid.
 * Curves and their areas work on the score histogram (one row per distinct
-  score).  Cumulative counts from the top score down are prefix sums over
-  score blocks balanced by a quantile sketch, as many as the scores need: block
-  totals get the prefix, rows inside a block get a window partitioned
-  by block, so no single task sees the whole histogram.
+  score).  Cumulative counts from the top score down are a prefix scan on two
+  levels over range partitions, as many as the scores need, so no single
+  task sees the whole histogram.
 * Each curve point's predecessor is the cumulative count excluding its own
   score, so areas are plain sums (trapezoid rule, anchored at recall 0 /
   precision 1 for PR and at (0, 0) for ROC).
@@ -23,12 +22,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import f1_expr, safe_ratio
-from ledgerlens.functions.joins import bounded_broadcast
-from ledgerlens.operators.quantiles import bucketize, sketch_cuts
+from ledgerlens.functions.joins import checked_broadcast
 from ledgerlens.session import ensure_checkpoint_dir
 
 Y, P = "y_true", "y_prob"
-#: Distinct scores in a block of the prefix sums, about.
+#: Distinct scores in a partition of the prefix scan, about.
 BLOCK_SCORES = 20_000
 
 
@@ -114,19 +112,22 @@ def score_histogram(pred: DataFrame) -> DataFrame:
 
 
 def cumulative_from_top(hist: DataFrame) -> DataFrame:
-    """Add ``tp``/``fp``: positives/negatives with score >= this score."""
-    n = max(1, -(-hist.count() // BLOCK_SCORES))  # blocks grow in number, not in size
-    probs = [i / n for i in range(1, n)]
-    cuts = sketch_cuts(hist, P, probs, 10 * n) if probs else []
-    blocked = bucketize(hist, P, cuts, "_blk") if cuts else hist.withColumn("_blk", F.lit(0.0))
-    totals = blocked.groupBy("_blk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    above = Window.orderBy(F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_op"),
+    """Add ``tp``/``fp``: positives/negatives with score >= this score.
+
+    A prefix scan on two levels: scores are dealt to partitions by range, best first, and stored
+    with their partition's number; partition totals are summed before each partition, and rows
+    within it.  The driver knows the number of partitions, no scores.
+    """
+    ensure_checkpoint_dir(hist.sparkSession)
+    n = max(1, -(-hist.count() // BLOCK_SCORES))  # partitions grow in number, not in size
+    dealt = hist.repartitionByRange(n, F.desc(P)).withColumn("_part", F.spark_partition_id()).checkpoint()
+    totals = dealt.groupBy("_part").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = totals.select("_part", F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_op"),
                             F.coalesce(F.sum("_bn").over(above), F.lit(0)).alias("_on"))
-    inside = Window.partitionBy("_blk").orderBy(F.desc(P)).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.select("*", F.sum("pos").over(inside).alias("_lp"), F.sum("neg").over(inside).alias("_ln"))
-    # one row of offsets for each block of BLOCK_SCORES scores
-    return (local.join(bounded_broadcast(offsets), "_blk", "inner")
+    inside = Window.partitionBy("_part").orderBy(F.desc(P)).rowsBetween(Window.unboundedPreceding, 0)
+    local = dealt.select("*", F.sum("pos").over(inside).alias("_lp"), F.sum("neg").over(inside).alias("_ln"))
+    return (local.join(checked_broadcast(offsets), "_part", "inner")
             .select(P, "pos", "neg", (F.col("_op") + F.col("_lp")).cast("long").alias("tp"),
                     (F.col("_on") + F.col("_ln")).cast("long").alias("fp")))
 

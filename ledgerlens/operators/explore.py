@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import exact_mean, exact_sum, label_text
+from ledgerlens.operators.comoments import correlations
 from ledgerlens.operators.quantiles import exact_percentiles, exact_quantiles_disc
 
 LAB = config.TARGET_COL
@@ -93,34 +94,12 @@ def fraud_peak_hour(tx: DataFrame) -> DataFrame:
 def correlation(df: DataFrame, columns: list[str] = config.CORRELATION_FEATURES, digits: int = 9) -> DataFrame:
     """Pearson matrix in long form (feature_x, feature_y, corr), pairwise-complete like pandas.
 
-    Each row is turned into its k(k+1)/2 column pairs (i <= j) and the pairs are grouped:
-    per pair, covar_samp / (stddev_samp(x) * stddev_samp(y)) over the rows where both values
-    are present.  The grouped aggregate has three small functions, so its generated code is
-    JIT-compiled; one aggregate holding all 45 moment functions compiles to a single method too
-    large for the JIT and runs interpreted.  Map-side partial aggregation leaves at most
-    k(k+1)/2 rows per task to shuffle.  A constant column yields null (undefined), never a
-    division error.
+    One pass of mergeable co-moments; the k x k result is the only thing that reaches the driver.
+    A constant column yields null (undefined), never a division error.
     """
-    cols = [c for c in columns if c in df.columns]
-    n = len(cols)
-    num = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_x{i}").alias("x"),
-                               F.col(f"_x{j}").alias("y"))
-                      for i in range(n) for j in range(i, n)])
-    long = num.select(F.inline(pairs)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    g = long.groupBy("i", "j").agg(F.covar_samp("x", "y").alias("cv"), F.stddev_samp("x").alias("sx"),
-                                   F.stddev_samp("y").alias("sy"))
-    sx, sy = F.col("sx"), F.col("sy")
-    value = (F.when(F.col("i") == F.col("j"), F.when(sx > 0, F.lit(1.0)))
-              .when((sx > 0) & (sy > 0), F.round(F.col("cv") / (sx * sy), digits)))
-    cell = g.select("i", "j", value.cast("double").alias("corr"))
-    # mirror the upper triangle (the diagonal once)
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")))) \
-            .otherwise(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
-                               F.struct(F.col("j").alias("a"), F.col("i").alias("b"))))
-    names = F.array(*[F.lit(c) for c in cols])
-    return (cell.select(F.explode(both).alias("c"), "corr")
-            .select(names[F.col("c.a")].alias("feature_x"), names[F.col("c.b")].alias("feature_y"), "corr"))
+    cells = correlations(df, [c for c in columns if c in df.columns])
+    table = df.sparkSession.createDataFrame(cells, "feature_x string, feature_y string, corr double")
+    return table.select("feature_x", "feature_y", F.round("corr", digits).alias("corr"))
 
 
 def class_weight(train: DataFrame) -> DataFrame:

@@ -146,3 +146,56 @@ def build_features_from(rows: DataFrame, tables: dict[str, DataFrame], max_keys:
     fills.update({c: 0.0 for c in ("sender_amount_sum_24h", "receiver_amount_sum_24h",
                                     "sender_avg_amount", "receiver_avg_amount")})
     return fact.fillna(fills).drop("Date")
+
+
+# ---------------------------------------------------------------- without the row itself
+def _own(side: Side, tag: str) -> dict[str, F.Column]:
+    """A row's own part in its account's sums: 1 or 0, and its amount in both parts."""
+    dec, rest = money_parts(side.amount)
+    return {f"{tag}n": F.col("Timestamp").isNotNull().cast("long"), f"{tag}k": F.col(side.amount).isNotNull().cast("long"),
+            f"{tag}amt": F.coalesce(dec, F.lit(0)), f"{tag}rest": F.coalesce(rest, F.lit(0.0))}
+
+
+def _activity_parts(train: DataFrame, side: Side) -> DataFrame:
+    """(account, day) -> count and exact sum of the day and the day before, as parts."""
+    daily = daily_activity(train, side)
+    shifted = daily.select(side.account, F.explode(F.array("Date", F.date_add("Date", 1))).alias("Date"), "n", "amt", "amt_rest")
+    return shifted.groupBy(side.account, "Date").agg(F.sum("n").alias("_vn"), F.sum("amt").alias("_vamt"), F.sum("amt_rest").alias("_vrest"))
+
+
+def _profile_parts(train: DataFrame, side: Side) -> DataFrame:
+    """account -> lifetime count, exact sum and number of amounts, distinct counterparties."""
+    dec, rest = money_parts(side.amount)
+    return (train.where(F.col(side.account).isNotNull()).groupBy(side.account)
+            .agg(F.count("Timestamp").alias("_pn"), F.count(side.amount).alias("_pk"), F.sum(dec).alias("_pamt"), F.sum(rest).alias("_prest"),
+                 F.count_distinct(side.counterparty).alias("_deg")))
+
+
+def build_features_excluding_self(tx_split: DataFrame) -> DataFrame:
+    """The ten features as if a training row had not been among the rows they are fitted on.
+
+    Sums are kept as exact decimals, so a training row's own part is subtracted without a rounding
+    error.  A counterparty counts for the degree only where another training row links the two
+    accounts.  Test rows have the same features as in :func:`build_features`.  An amount that makes
+    a sum NaN leaves it NaN.
+    """
+    train = tx_split.where(F.col("split") == "train")
+    mine = (F.col("split") == "train").cast("long")
+    pairs = train.groupBy(SENDER.account, RECEIVER.account).agg(F.count(F.lit(1)).alias("_pair"))
+    linked = [SENDER.account, RECEIVER.account]
+    fact = with_date(tx_split).join(pairs, linked, "left").withColumn("_only", mine * F.coalesce((F.col("_pair") == 1).cast("long"), F.lit(0)))
+    out = list(tx_split.columns)
+    for side in (SENDER, RECEIVER):
+        fact = _attach(fact, side_lookup_from(tx_split, _activity_parts(train, side), _profile_parts(train, side), side), side)
+        own = _own(side, "_o")
+        dated = mine * F.col("Date").isNotNull().cast("long")
+        known, active = F.col("_pn").isNotNull(), F.col("_vn").isNotNull()
+        k = F.col("_pk") - mine * own["_ok"]
+        total = money_total(F.col("_pamt") - mine * own["_oamt"], F.col("_prest") - mine * own["_orest"])
+        fact = fact.withColumns({
+            side.count_24h: F.when(active, F.col("_vn") - dated * own["_on"]).otherwise(0),
+            side.amount_24h: F.coalesce(F.when(active, money_total(F.col("_vamt") - dated * own["_oamt"], F.col("_vrest") - dated * own["_orest"])), F.lit(0.0)),
+            side.count_all: F.when(known, F.col("_pn") - mine * own["_on"]).otherwise(0),
+            side.mean_all: F.coalesce(F.when(known & (k > 0), total / k), F.lit(0.0)),
+            side.degree: F.when(known, F.col("_deg") - F.col("_only")).otherwise(0)}).drop("_vn", "_vamt", "_vrest", "_pn", "_pk", "_pamt", "_prest", "_deg")
+    return fact.select(*out, *FEATURE_COLUMNS)

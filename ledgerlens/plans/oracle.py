@@ -378,6 +378,20 @@ FROM test WHERE Amount_Paid IS NOT NULL AND NOT isnan(Amount_Paid) GROUP BY Is_L
     q["amount_log_box"] = _box_sql()
     q["split_counts"] = _w("SELECT split, Is_Laundering, COUNT(*) AS n FROM tx_split GROUP BY split, Is_Laundering")
     q["downsample_counts"] = _w("SELECT Is_Laundering, COUNT(*) AS n FROM balanced_rows GROUP BY Is_Laundering")
+    exact = """, ranked AS (
+  SELECT tx_key, Is_Laundering, row_number() OVER (PARTITION BY Is_Laundering ORDER BY
+           CAST(concat('0x', substr(md5(tx_key), 1, 8)) AS BIGINT), tx_key) AS r,
+         COUNT(*) OVER (PARTITION BY Is_Laundering) AS n
+  FROM tx_split),
+exact AS (SELECT tx_key, Is_Laundering, CASE WHEN r <= n * 80 // 100 THEN 'train' ELSE 'test' END AS split FROM ranked)"""
+    q["split_exact"] = "WITH " + BASE + exact + " SELECT tx_key, split FROM exact"
+    q["split_exact_counts"] = "WITH " + BASE + exact + " SELECT split, Is_Laundering, COUNT(*) AS n FROM exact GROUP BY ALL"
+    q["downsample_exact"] = _w("""
+SELECT tx_key, Is_Laundering FROM (
+  SELECT tx_key, Is_Laundering, row_number() OVER (PARTITION BY Is_Laundering ORDER BY
+           CAST(concat('0x', substr(md5(tx_key || '-ds'), 1, 8)) AS BIGINT), tx_key) AS r,
+         COUNT(*) FILTER (Is_Laundering = 1) OVER () AS pos FROM train)
+WHERE Is_Laundering = 1 OR r <= 20 * pos""")
     q["velocity_sender"] = _w("SELECT tx_key, split, sender_tx_count_24h, sender_amount_sum_24h FROM feat", True)
     q["velocity_receiver"] = _w("SELECT tx_key, split, receiver_tx_count_24h, receiver_amount_sum_24h FROM feat", True)
     q["sender_profile"] = _w("""
@@ -392,6 +406,23 @@ SELECT To_Account, COUNT("Timestamp") AS receiver_tx_count,
 FROM train WHERE To_Account IS NOT NULL GROUP BY To_Account""")
     q["feature_table"] = _w(f"""
 SELECT tx_key, split, CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS tx_date, {CLEAN_OUT}, {FEATS} FROM feat""", True)
+    q["feature_table_excluding_self"] = _w("""
+, others AS (  -- each training row against the other training rows, account by account
+  SELECT tx_key,
+    COUNT("Timestamp") OVER s AS sn, COUNT("Timestamp") OVER r AS rn, COUNT(Amount_Paid) OVER s AS sk, COUNT(Amount_Received) OVER r AS rk,
+    COUNT(*) OVER (PARTITION BY From_Account, To_Account) AS together
+  FROM train WINDOW s AS (PARTITION BY From_Account), r AS (PARTITION BY To_Account)),
+less AS (SELECT f.*, CASE WHEN f.split = 'train' THEN 1 ELSE 0 END AS me, o.* EXCLUDE (tx_key), ss.sender_avg_amount AS s_avg, rs.receiver_avg_amount AS r_avg
+         FROM feat f LEFT JOIN others o ON f.tx_key = o.tx_key AND f.split = 'train'
+         LEFT JOIN sender_stats ss ON f.From_Account = ss.From_Account LEFT JOIN receiver_stats rs ON f.To_Account = rs.To_Account)
+SELECT tx_key, split, sender_tx_count_24h - me AS sender_tx_count_24h, round(sender_amount_sum_24h - me * Amount_Paid, 6) AS sender_amount_sum_24h,
+  receiver_tx_count_24h - me AS receiver_tx_count_24h, round(receiver_amount_sum_24h - me * Amount_Received, 6) AS receiver_amount_sum_24h,
+  sender_tx_count - me AS sender_tx_count,
+  CASE WHEN me = 0 THEN sender_avg_amount WHEN sk > 1 THEN round(s_avg * sk - Amount_Paid, 6) / (sk - 1) ELSE 0.0 END AS sender_avg_amount,
+  receiver_tx_count - me AS receiver_tx_count,
+  CASE WHEN me = 0 THEN receiver_avg_amount WHEN rk > 1 THEN round(r_avg * rk - Amount_Received, 6) / (rk - 1) ELSE 0.0 END AS receiver_avg_amount,
+  out_degree - CASE WHEN together = 1 THEN 1 ELSE 0 END AS out_degree, in_degree - CASE WHEN together = 1 THEN 1 ELSE 0 END AS in_degree
+FROM less""", True)
     q["correlation"] = _corr_sql()
     q["class_weight"] = _w("""
 SELECT negatives, positives, CASE WHEN positives > 0 THEN CAST(negatives AS DOUBLE) / CAST(positives AS DOUBLE) END

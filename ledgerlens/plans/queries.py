@@ -50,6 +50,19 @@ def q_downsample_counts(spark, sf):
     return bal.groupBy(LAB).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_split_exact(spark, sf):
+    return split.exact_split(ds.tx(spark, sf).select("tx_key", LAB)).select("tx_key", "split")
+
+
+def q_split_exact_counts(spark, sf):
+    return split.split_counts(split.exact_split(ds.tx(spark, sf).select("tx_key", LAB)))
+
+
+def q_downsample_exact(spark, sf):
+    train = ds.tx_split(spark, sf).where(F.col("split") == "train").select("tx_key", LAB)
+    return split.exact_downsample(train)
+
+
 # ---------------------------------------------------------------- features
 def _side_features(spark, sf, side):
     """The velocity table is unique by (account, day): the rows meet it in one join."""
@@ -82,6 +95,11 @@ def q_feature_table(spark, sf):
     return f.select("tx_key", "split", _date_str(), *CLEAN_OUT, *feat.FEATURE_COLUMNS)
 
 
+def q_feature_table_excluding_self(spark, sf):
+    f = feat.build_features_excluding_self(ds.tx_split(spark, sf))
+    return f.select("tx_key", "split", *feat.FEATURE_COLUMNS)
+
+
 def q_ordinal_map(spark, sf):
     return ds.encoder_mapping(spark, sf)
 
@@ -367,11 +385,15 @@ QUERIES: dict[str, Query] = {
     "amount_log_box": _on_test(explore.amount_log_box),
     "split_counts": q_split_counts,
     "downsample_counts": q_downsample_counts,
+    "split_exact": q_split_exact,
+    "split_exact_counts": q_split_exact_counts,
+    "downsample_exact": q_downsample_exact,
     "velocity_sender": q_velocity_sender,
     "velocity_receiver": q_velocity_receiver,
     "sender_profile": q_sender_profile,
     "receiver_profile": q_receiver_profile,
     "feature_table": q_feature_table,
+    "feature_table_excluding_self": q_feature_table_excluding_self,
     "correlation": q_correlation,
     "class_weight": q_class_weight,
     "ordinal_map": q_ordinal_map,
