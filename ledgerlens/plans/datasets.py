@@ -46,8 +46,8 @@ def input_state(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def forget_stages() -> None:
     """Drop what this process remembers of stages and models, so they are built again."""
-    for kept in (_STAGES, _SMALL, _MODELS):
-        kept.clear()
+    for held in (_STAGES, _SMALL, _MODELS, _KEPT):
+        held.clear()
 
 
 def _materialize_enabled(spark: SparkSession) -> bool:
@@ -89,6 +89,17 @@ def small_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     return df
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    """What ``build`` left in the shared folder, once per session and input."""
+    key = (spark.sparkContext.applicationId, *input_state(spark, sf_dir), name)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned transactions with their split assignment stored as a column: the md5 per row is
     computed once at staging, and ``split = 'train'`` reaches the Parquet scan as a pushed filter

@@ -480,6 +480,28 @@ FROM buckets, bounds"""
     q["rba_apply"] = tiers_base + "\nSELECT tx_key, tier, y_pred_dynamic FROM applied"
     q["rba_metrics"] = tiers_base + ",\n" + _confusion("y_pred_dynamic") + " FROM applied)" + \
         _metrics_select("tp0", "fp0", "fn0", "tn0")
+    # each fold's thresholds from the rows of all other folds, counted anew for each fold
+    fold = "CAST(CAST(concat('0x', substr(md5(tx_key || '-fold'), 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold"
+    static = SWEEP_CTE.replace("SELECT g.threshold, COUNT(*)", "SELECT o.fold, g.threshold, COUNT(*)").replace(
+        f"FROM pred, {_grid_values()} GROUP BY g.threshold",
+        f"FROM (SELECT *, {fold} FROM pred) p JOIN (SELECT CAST(range AS INTEGER) AS fold FROM range(5)) o ON p.fold <> o.fold, {_grid_values()} GROUP BY ALL")
+    static = static.replace("SELECT threshold, tp, fp, pos - tp AS fn", "SELECT fold, threshold, tp, fp, pos - tp AS fn")
+    q["crossfit_static_thresholds"] = "WITH " + BASE + static[:static.index("best AS")].rstrip().rstrip(",") + """
+SELECT fold, COALESCE(arg_max(threshold, (f1_score, -threshold)) FILTER (f1_score > 0), 0.5) AS threshold, max(f1_score) AS f1_score FROM sweep GROUP BY fold"""
+    folded = tiers_base.replace("SELECT tier, g.threshold, COUNT(*)", "SELECT o.fold, tier, g.threshold, COUNT(*)").replace(
+        f"FROM tiered, {_grid_values()} WHERE tier IS NOT NULL GROUP BY tier, g.threshold",
+        f"FROM (SELECT *, {fold} FROM tiered) p JOIN (SELECT CAST(range AS INTEGER) AS fold FROM range(5)) o ON p.fold <> o.fold, {_grid_values()} "
+        "WHERE tier IS NOT NULL GROUP BY ALL").replace("SELECT tier, threshold, n, pos, ROW_NUMBER", "SELECT fold, tier, threshold, n, pos, ROW_NUMBER").replace(
+        "PARTITION BY tier\n", "PARTITION BY fold, tier\n").replace("SELECT nm.tier,\n", "SELECT nm.fold, nm.tier,\n").replace(
+        "FROM (VALUES ('Low'), ('Medium'), ('High')) nm(tier) LEFT JOIN (SELECT * FROM tpick WHERE rn = 1) p USING (tier)",
+        "FROM (SELECT CAST(f AS INTEGER) AS fold, t AS tier FROM range(5) a(f), (VALUES ('Low'), ('Medium'), ('High')) b(t)) nm "
+        "LEFT JOIN (SELECT * FROM tpick WHERE rn = 1) p USING (fold, tier)").replace(
+        "FROM tiered t LEFT JOIN tier_table tt USING (tier)", f"FROM (SELECT *, {fold} FROM tiered) t LEFT JOIN tier_table tt USING (fold, tier)")
+    q["crossfit_tier_thresholds"] = folded + "\nSELECT fold, tier, threshold, sample_count, fraud_count FROM tier_table"
+    q["crossfit_apply"] = folded + "\nSELECT tx_key, fold, tier, y_pred_dynamic FROM applied"
+    q["crossfit_metrics"] = folded + ",\n" + _confusion("y_pred_dynamic") + " FROM applied)" + _metrics_select("tp0", "fp0", "fn0", "tn0")
+    for name in ("sender", "receiver"):
+        q[f"state_{name}_profile"], q[f"state_velocity_{name}"] = q[f"{name}_profile"], q[f"velocity_{name}"]
     q["tier_segmentation"] = tiers_base + """
 SELECT tier, Is_Laundering, COUNT(*) AS jumlah FROM (
   SELECT Is_Laundering, CASE WHEN Amount_Paid IS NULL OR isnan(Amount_Paid) THEN NULL

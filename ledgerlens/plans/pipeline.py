@@ -12,6 +12,7 @@ recomputing joins.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import config
-from ledgerlens.operators import encode, evaluate as ev, explore, models, report, split, tiers
+from ledgerlens.operators import crossfit, encode, evaluate as ev, explore, models, report, split, tiers
 from ledgerlens.operators.features import build_features_from, lookup_tables
 from ledgerlens.sources import ingest, sinks
 
@@ -59,18 +60,31 @@ class Pipeline:
         self.estimators = estimators or {"random_forest": models.random_forest(), "gbt_a": models.boosted_a(),
                                          "gbt_b": models.boosted_b()}
         self.tuning_model, self.untiered = tuning_model, untiered
+        self.inputs: str | None = None  # digest of the raw files, settings and code: known once the raw path is
+
+    def digest(self, of_models: bool = False) -> str:
+        """What a stage is made from: another digest builds it again."""
+        parts = [self.inputs or "", *([models.describe(e) for e in self.estimators.values()] + [repr((self.tuning_model, self.untiered))] if of_models else [])]
+        return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+    def _built(self, path: str, build: Callable[[], None], of_models: bool = False, marker: str = "_SUCCESS") -> None:
+        """Run ``build`` unless ``path`` holds a finished write made from the same inputs."""
+        if not sinks.stage_done(self.spark, path, self.digest(of_models), marker):
+            build()
+            sinks.write_manifest(self.spark, path, self.digest(of_models))
 
     def path(self, *parts: str) -> str:
         return "/".join([self.out, *parts])
 
-    def _parquet_stage(self, name: str, build: Callable[[], DataFrame], partition_by=None) -> DataFrame:
+    def _parquet_stage(self, name: str, build: Callable[[], DataFrame], partition_by=None, of_models: bool = False) -> DataFrame:
         p = self.path(name)
-        if not sinks.stage_done(self.spark, p):
-            sinks.write_parquet(build(), p, partition_by)
+        self._built(p, lambda: sinks.write_parquet(build(), p, partition_by), of_models)
         return self.spark.read.parquet(p)
 
     # S1-S3, P1-P6
     def cleaned(self, raw_path: str) -> DataFrame:
+        settings = repr(sorted((k, v) for k, v in vars(config).items() if k.isupper()))
+        self.inputs = "\n".join([sinks.files_digest(self.spark, raw_path), sinks.code_digest(), settings])
         return self._parquet_stage("cleaned", lambda: with_row_key(ingest.ingest(self.spark, raw_path)))
 
     # M1, J1-J6, A1-A6, M2
@@ -99,12 +113,8 @@ class Pipeline:
     # S7, A7-A16
     def eda(self, cleaned: DataFrame, balanced: DataFrame) -> None:
         for name, fn in EDA_TABLES.items():
-            p = self.path("eda", name)
-            if not sinks.stage_done(self.spark, p):
-                sinks.write_json(fn(cleaned), p)
-        p = self.path("eda", "correlation_matrix")
-        if not sinks.stage_done(self.spark, p):
-            sinks.write_json(explore.correlation(balanced), p)
+            self._json(f"eda/{name}", lambda fn=fn: fn(cleaned))
+        self._json("eda/correlation_matrix", lambda: explore.correlation(balanced))
 
     # T2-T6, S9
     def predictions(self, train_e: DataFrame, test_e: DataFrame) -> DataFrame:
@@ -113,17 +123,15 @@ class Pipeline:
             parts = []
             for name, est in self.estimators.items():
                 mp = self.path("models", name)
-                if not sinks.stage_done(self.spark, mp + "/metadata"):
-                    models.fit(train_e, est).write().overwrite().save(mp)
+                self._built(mp, lambda: models.fit(train_e, est).write().overwrite().save(mp), True, "metadata/_SUCCESS")
                 from pyspark.ml import PipelineModel
                 parts.append(models.score(PipelineModel.load(mp), test_e).withColumn("model", F.lit(name)))
             return reduce(DataFrame.unionByName, parts)
-        return self._parquet_stage("predictions", build, ["model"])
+        return self._parquet_stage("predictions", build, ["model"], True)
 
-    def _json(self, name: str, build: Callable[[], DataFrame]) -> None:
+    def _json(self, name: str, build: Callable[[], DataFrame], of_models: bool = False) -> None:
         p = self.path(name)
-        if not sinks.stage_done(self.spark, p):
-            sinks.write_json(build(), p)
+        self._built(p, lambda: sinks.write_json(build(), p), of_models)
 
     # E7-E11: thresholds with the boundaries and the base rate they were tuned under
     def tier_config(self, preds: DataFrame) -> DataFrame:
@@ -132,7 +140,15 @@ class Pipeline:
             tune = tiers.with_tier(preds.where(F.col("model") == self.tuning_model), bounds)
             b = bounds.first()  # one row
             return tiers.tier_thresholds(tune).withColumns({c: F.lit(b[c]) for c in ("low_boundary", "high_boundary", "baseline_rate")})
-        return self._parquet_stage("rba_tier_config", build)
+        return self._parquet_stage("rba_tier_config", build, of_models=True)
+
+    # E3, E8-E12 with thresholds tuned apart from the rows they judge
+    def crossfit(self, preds: DataFrame, tier_table: DataFrame) -> DataFrame:
+        def judged() -> DataFrame:
+            tuned = crossfit.with_fold(tiers.with_tier(preds.where(F.col("model") == self.tuning_model), tiers.boundaries_of(tier_table)))
+            table = self._parquet_stage("crossfit_thresholds", lambda: crossfit.tier_thresholds(tuned), of_models=True)
+            return crossfit.apply_tiers(tuned, table)
+        return self._parquet_stage("crossfit_metrics", lambda: ev.with_metrics(ev.confusion(judged(), F.col("y_pred_dynamic"))), of_models=True)
 
     # S9, E12: scores with the tier and its decision (null for models without tiers)
     def decisions(self, preds: DataFrame, tier_table: DataFrame) -> DataFrame:
@@ -140,7 +156,7 @@ class Pipeline:
             tiered = tiers.apply_tiers(tiers.with_tier(preds, tiers.boundaries_of(tier_table)), tier_table)
             plain = F.col("model").isin(list(self.untiered))
             return tiered.withColumns({c: F.when(~plain, F.col(c)) for c in ("tier", "y_pred_dynamic")})
-        return self._parquet_stage("predictions_with_tiers", build, ["model"])
+        return self._parquet_stage("predictions_with_tiers", build, ["model"], True)
 
     # E1-E14, S8, T7
     def evaluate(self, cleaned: DataFrame, preds: DataFrame) -> DataFrame:
@@ -154,22 +170,22 @@ class Pipeline:
         for name in self.estimators:
             p = preds.where(F.col("model") == name)
             with_rba = name not in self.untiered
-            points = self._parquet_stage(f"curves/{name}", lambda p=p: ev.curve_points(p))
+            points = self._parquet_stage(f"curves/{name}", lambda p=p: ev.curve_points(p), of_models=True)
             areas = ev.curve_areas_from(points)
             rows.append(report.model_comparison(p, name, tier_table if with_rba else None,
                                                 bounds if with_rba else None, areas=areas))
-            self._json(f"threshold_evaluation/{name}", lambda p=p: ev.sweep(p))
+            self._json(f"threshold_evaluation/{name}", lambda p=p: ev.sweep(p), True)
             self._json(f"metrics_summary/{name}", lambda p=p, a=areas, r=with_rba, n=name: report.metrics_summary(
-                p, a, decided.where(F.col("model") == n) if r else None))
-            self._json(f"charts/pr_curve/{name}", lambda q=points: ev.pr_curve_from(q))
-            self._json(f"charts/roc_curve/{name}", lambda q=points: ev.roc_curve_from(q))
+                p, a, decided.where(F.col("model") == n) if r else None), True)
+            self._json(f"charts/pr_curve/{name}", lambda q=points: ev.pr_curve_from(q), True)
+            self._json(f"charts/roc_curve/{name}", lambda q=points: ev.roc_curve_from(q), True)
             model = PipelineModel.load(self.path("models", name))
             if hasattr(model.stages[-1], "featureImportances"):
-                self._json(f"feature_importance/{name}", lambda m=model: models.feature_importance(m, top=None))
+                self._json(f"feature_importance/{name}", lambda m=model: models.feature_importance(m, top=None), True)
         comparison = reduce(DataFrame.unionByName, rows)
+        self.crossfit(preds, tier_table)
         cp = self.path("model_comparison")
-        if not sinks.stage_done(self.spark, cp):
-            sinks.write_csv(comparison, cp)
+        self._built(cp, lambda: sinks.write_csv(comparison, cp), True)
         return self.spark.read.option("header", True).option("inferSchema", True).csv(cp)
 
     # chart tables over the user's own data

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import config
-from ledgerlens.operators import encode, evaluate as ev, explore, features as feat, split, tiers
+from ledgerlens.operators import crossfit, encode, evaluate as ev, explore, features as feat, split, tiers
 from ledgerlens.plans import datasets as ds
 
 LAB = config.TARGET_COL
@@ -254,6 +254,63 @@ def q_model_comparison_long(spark, sf):
     return report.comparison_long(q_model_comparison(spark, sf))
 
 
+# thresholds tuned apart from the rows they judge
+def _fold_pred(spark, sf):
+    return crossfit.with_fold(_tiered_pred(spark, sf))
+
+
+def _fold_table(spark, sf):
+    return ds.small_table(spark, sf, "crossfit_thresholds", lambda: crossfit.tier_thresholds(_fold_pred(spark, sf)))
+
+
+def q_crossfit_static_thresholds(spark, sf):
+    return crossfit.static_thresholds(crossfit.with_fold(_pred(spark, sf)))
+
+
+def q_crossfit_tier_thresholds(spark, sf):
+    return _fold_table(spark, sf)
+
+
+def q_crossfit_apply(spark, sf):
+    return crossfit.apply_tiers(_fold_pred(spark, sf), _fold_table(spark, sf)).select("tx_key", "fold", "tier", "y_pred_dynamic")
+
+
+def q_crossfit_metrics(spark, sf):
+    return ev.with_metrics(ev.confusion(crossfit.apply_tiers(_fold_pred(spark, sf), _fold_table(spark, sf)), F.col("y_pred_dynamic")))
+
+
+# ---------------------------------------------------------------- account state
+def _account_state(spark, sf):
+    """The state after three merges: training rows of early, middle and late days."""
+    from ledgerlens.operators.account_state import AccountState
+    from ledgerlens.session import scratch_dir
+
+    def build():
+        train = feat.with_date(ds.tx_split(spark, sf).where(F.col("split") == "train"))
+        a, b = train.agg(F.min("Date"), F.max("Date")).first()
+        state = AccountState(spark, scratch_dir(spark, "account-state"))
+        third = (b - a) / 3
+        day = F.col("Date")
+        for i, rows in enumerate([day <= a + third, (day > a + third) & (day <= a + 2 * third), (day > a + 2 * third) | day.isNull()]):
+            state.merge(i, train.where(rows).drop("Date"))
+        return state
+    return ds.kept(spark, sf, "account_state", build)
+
+
+def _state_profile(name):
+    return lambda spark, sf: _account_state(spark, sf).profile(name)
+
+
+def _state_velocity(name):
+    """The velocity tables joined to all rows, as in ``velocity_sender`` and ``velocity_receiver``."""
+    def run(spark, sf):
+        from ledgerlens.operators.account_state import SIDES
+        side, fact = SIDES[name], feat.with_date(ds.tx_split(spark, sf))
+        fact = feat._attach(fact, _account_state(spark, sf).velocity(name), side)
+        return fact.select("tx_key", "split", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in (side.count_24h, side.amount_24h)])
+    return run
+
+
 # ---------------------------------------------------------------- models
 def _encoded_sets(spark, sf):
     """Encoded training and test rows, stored once for every model."""
@@ -417,6 +474,14 @@ QUERIES: dict[str, Query] = {
     "tier_segmentation": q_tier_segmentation,
     "model_comparison": q_model_comparison,
     "model_comparison_long": q_model_comparison_long,
+    "crossfit_static_thresholds": q_crossfit_static_thresholds,
+    "crossfit_tier_thresholds": q_crossfit_tier_thresholds,
+    "crossfit_apply": q_crossfit_apply,
+    "crossfit_metrics": q_crossfit_metrics,
+    "state_sender_profile": _state_profile("sender"),
+    "state_receiver_profile": _state_profile("receiver"),
+    "state_velocity_sender": _state_velocity("sender"),
+    "state_velocity_receiver": _state_velocity("receiver"),
     "assemble_features": q_assemble_features,
     "rf_scores": _model_scores("random_forest"),
     "gbt_a_scores": _model_scores("boosted_a"),

@@ -1,15 +1,80 @@
-"""Stage outputs: Parquet / JSON / CSV writes and the skip-if-done check."""
+"""Stage outputs: Parquet / JSON / CSV writes and the skip-if-done check.
+
+A finished stage has its ``_SUCCESS`` marker and a manifest beside it: the digest of the input files,
+settings and code that it was made from.  A stage with another digest is not done.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def stage_done(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a completed write (its ``_SUCCESS`` marker), on any Hadoop filesystem."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+MANIFEST = "_manifest"
+
+
+def _located(spark: SparkSession, path: str):
+    """(Hadoop file system, path object), on any file system that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def stage_done(spark: SparkSession, path: str, digest: str | None = None, marker: str = "_SUCCESS") -> bool:
+    """True when ``path`` holds a completed write (its ``_SUCCESS`` marker), made from ``digest`` if that is given."""
+    fs, p = _located(spark, f"{path}/{marker}")
+    return bool(fs.exists(p)) and (digest is None or read_manifest(spark, path) == digest)
+
+
+def read_manifest(spark: SparkSession, path: str) -> str | None:
+    fs, p = _located(spark, f"{path}/{MANIFEST}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_manifest(spark: SparkSession, path: str, digest: str) -> None:
+    """The last thing that is written of a stage."""
+    fs, p = _located(spark, f"{path}/{MANIFEST}")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(digest.encode()))
+    finally:
+        stream.close()
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _located(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def files_digest(spark: SparkSession, path: str) -> str:
+    """Digest of the names, sizes and times of all files under ``path`` (a file, a folder or a glob)."""
+    digest, (fs, p) = hashlib.sha256(), _located(spark, path)
+    for top in sorted(fs.globStatus(p) or [], key=lambda s: s.getPath().toString()):
+        files = fs.listFiles(top.getPath(), True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        for entry in sorted(found):
+            digest.update(repr(entry).encode())
+    return digest.hexdigest()
+
+
+def code_digest() -> str:
+    """Digest of this package's sources."""
+    digest, package = hashlib.sha256(), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for folder, _, names in sorted(os.walk(package)):
+        for name in sorted(n for n in names if n.endswith(".py")):
+            with open(os.path.join(folder, name), "rb") as f:
+                digest.update(name.encode() + f.read())
+    return digest.hexdigest()
 
 
 def rebalanced(df: DataFrame) -> DataFrame:
