@@ -86,7 +86,8 @@ def sample_by_label(train: DataFrame, ratio: int = config.IMBALANCE_RATIO, seed:
 def quota_cuts(rows: DataFrame, quota: Column, salt: str | None = None, key: str = "tx_key") -> DataFrame:
     """(label, cut_hash, cut_key, quota): the last row by (hash, key) within each class's quota.
 
-    ``quota``: of ``_n``, the rows of the class.  Classes without a quota have no row.  Keys are unique.
+    ``quota``: of ``_n``, the rows of the class.  Classes without a quota have no row.  Rows with
+    equal keys stay together: quotas are exact where keys are unique.
     """
     hashed = rows.select(F.struct(F.col(config.TARGET_COL).alias("label")).alias("_k"), hash_u32(key, salt).cast("double").alias("_v"),
                          F.col(key).cast("string").alias("_key"))

@@ -407,21 +407,19 @@ FROM train WHERE To_Account IS NOT NULL GROUP BY To_Account""")
     q["feature_table"] = _w(f"""
 SELECT tx_key, split, CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS tx_date, {CLEAN_OUT}, {FEATS} FROM feat""", True)
     q["feature_table_excluding_self"] = _w("""
-, others AS (  -- each training row against the other training rows, account by account
-  SELECT tx_key,
-    COUNT("Timestamp") OVER s AS sn, COUNT("Timestamp") OVER r AS rn, COUNT(Amount_Paid) OVER s AS sk, COUNT(Amount_Received) OVER r AS rk,
-    COUNT(*) OVER (PARTITION BY From_Account, To_Account) AS together
-  FROM train WINDOW s AS (PARTITION BY From_Account), r AS (PARTITION BY To_Account)),
-less AS (SELECT f.*, CASE WHEN f.split = 'train' THEN 1 ELSE 0 END AS me, o.* EXCLUDE (tx_key), ss.sender_avg_amount AS s_avg, rs.receiver_avg_amount AS r_avg
-         FROM feat f LEFT JOIN others o ON f.tx_key = o.tx_key AND f.split = 'train'
-         LEFT JOIN sender_stats ss ON f.From_Account = ss.From_Account LEFT JOIN receiver_stats rs ON f.To_Account = rs.To_Account)
+, less AS (  -- how many training rows share the account, and both accounts
+  SELECT f.*, CASE WHEN split = 'train' THEN 1 ELSE 0 END AS me, ss.sender_avg_amount AS s_avg, rs.receiver_avg_amount AS r_avg,
+    COUNT(Amount_Paid) FILTER (split = 'train') OVER (PARTITION BY f.From_Account) AS sk,
+    COUNT(Amount_Received) FILTER (split = 'train') OVER (PARTITION BY f.To_Account) AS rk,
+    COUNT(*) FILTER (split = 'train') OVER (PARTITION BY f.From_Account, f.To_Account) AS together
+  FROM feat f LEFT JOIN sender_stats ss ON f.From_Account = ss.From_Account LEFT JOIN receiver_stats rs ON f.To_Account = rs.To_Account)
 SELECT tx_key, split, sender_tx_count_24h - me AS sender_tx_count_24h, round(sender_amount_sum_24h - me * Amount_Paid, 6) AS sender_amount_sum_24h,
   receiver_tx_count_24h - me AS receiver_tx_count_24h, round(receiver_amount_sum_24h - me * Amount_Received, 6) AS receiver_amount_sum_24h,
   sender_tx_count - me AS sender_tx_count,
   CASE WHEN me = 0 THEN sender_avg_amount WHEN sk > 1 THEN round(s_avg * sk - Amount_Paid, 6) / (sk - 1) ELSE 0.0 END AS sender_avg_amount,
   receiver_tx_count - me AS receiver_tx_count,
   CASE WHEN me = 0 THEN receiver_avg_amount WHEN rk > 1 THEN round(r_avg * rk - Amount_Received, 6) / (rk - 1) ELSE 0.0 END AS receiver_avg_amount,
-  out_degree - CASE WHEN together = 1 THEN 1 ELSE 0 END AS out_degree, in_degree - CASE WHEN together = 1 THEN 1 ELSE 0 END AS in_degree
+  out_degree - CASE WHEN together = 1 THEN me ELSE 0 END AS out_degree, in_degree - CASE WHEN together = 1 THEN me ELSE 0 END AS in_degree
 FROM less""", True)
     q["correlation"] = _corr_sql()
     q["class_weight"] = _w("""
@@ -521,6 +519,9 @@ WHERE Threshold_Type IN ('Tuned (Static)', 'RBA (Dynamic)')"""
     q["ingest_clean"] = _w(f"""
 SELECT CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS tx_date, strftime("Timestamp", '%H:%M') AS tx_time, {CLEAN_OUT}
 FROM transactions""")
+    for name, of in (("sink_parquet", "feature_table"), ("sink_predictions", "rba_apply"), ("sink_json", "daily_timeline"),
+                     ("sink_csv", "model_comparison"), ("sink_encoder", "ordinal_map")):
+        q[name] = q[of]      # written and read back, nothing changes
     for name in ("class_distribution", "amount_stats", "payment_format_mix", "daily_timeline", "top_senders",
                  "hourly_distribution"):
         q["sql_" + name] = q[name]      # the Spark SQL form answers the same question

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlens import config
 from ledgerlens.operators import crossfit, encode, evaluate as ev, explore, features as feat, split, tiers
 from ledgerlens.plans import datasets as ds
+from ledgerlens.sources import sinks
 
 LAB = config.TARGET_COL
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +312,44 @@ def _state_velocity(name):
     return run
 
 
+# ---------------------------------------------------------------- sinks, read back
+def _sink_path(spark, name):
+    from ledgerlens.session import scratch_dir
+    return scratch_dir(spark, f"sink-{name}")
+
+
+def q_sink_parquet(spark, sf):
+    """The feature table as the pipeline writes it, by split."""
+    table = q_feature_table(spark, sf)
+    path = sinks.write_parquet(table, _sink_path(spark, "features"), ["split"])
+    return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
+
+
+def q_sink_predictions(spark, sf):
+    """Scored rows with tier and decision as the pipeline writes them, by model."""
+    path = sinks.write_parquet(q_rba_apply(spark, sf).withColumn("model", F.lit("fixture_score")), _sink_path(spark, "predictions"), ["model"])
+    return spark.read.parquet(path).where(F.col("model") == "fixture_score").drop("model")
+
+
+def q_sink_json(spark, sf):
+    table = explore.daily_timeline(ds.tx(spark, sf))
+    path = _sink_path(spark, "timeline")
+    sinks.write_json(table, path)
+    return spark.read.schema(table.schema).json(path)
+
+
+def q_sink_csv(spark, sf):
+    table = q_model_comparison(spark, sf)
+    path = _sink_path(spark, "comparison")
+    sinks.write_csv(table, path)
+    return spark.read.schema(table.schema).option("header", True).csv(path)
+
+
+def q_sink_encoder(spark, sf):
+    """The stored encoder, as scoring reads it."""
+    return spark.read.parquet(sinks.write_parquet(ds.encoder_mapping(spark, sf), _sink_path(spark, "encoder")))
+
+
 # ---------------------------------------------------------------- models
 def _encoded_sets(spark, sf):
     """Encoded training and test rows, stored once for every model."""
@@ -482,6 +521,11 @@ QUERIES: dict[str, Query] = {
     "state_receiver_profile": _state_profile("receiver"),
     "state_velocity_sender": _state_velocity("sender"),
     "state_velocity_receiver": _state_velocity("receiver"),
+    "sink_parquet": q_sink_parquet,
+    "sink_predictions": q_sink_predictions,
+    "sink_json": q_sink_json,
+    "sink_csv": q_sink_csv,
+    "sink_encoder": q_sink_encoder,
     "assemble_features": q_assemble_features,
     "rf_scores": _model_scores("random_forest"),
     "gbt_a_scores": _model_scores("boosted_a"),
