@@ -30,12 +30,17 @@ def _segment(i: int, length: Column, edits: int) -> tuple[Column, Column]:
     return (base * (i - 1) + extra + 1).cast("int"), size.cast("int")
 
 
+def wide(line: Column) -> Column:
+    """Four bytes a character: pieces of it are cut out at their place, without counting through the line."""
+    return F.encode(line, "UTF-32")
+
+
 def _key(line: Column, i: int, length: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start, size))
+    return F.xxhash64(length, F.lit(i), F.substring(line, 4 * start - 3, 4 * size))
 
 
 def packed_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column:
-    """array<long>: hashes of the line's own segments (lowest bit 1) and of the substrings that probe other lengths (0).
+    """Of a line made ``wide``, array<long>: hashes of the line's own segments (lowest bit 1) and of the substrings that probe other lengths (0).
 
     Lines within ``edits`` share a hash, but for the lowest bit, of which at least one of them is
     the owner: substrings start no further from the segment than edits left of it, and right of
@@ -68,7 +73,7 @@ def segment_keys(line: Column, length: Column, edits: int = MAX_EDITS) -> Column
         key, own = _unpacked(x)
         return F.struct(key.alias("key"), own.alias("own"))
 
-    return F.transform(F.filter(packed_keys(line, length, edits), lambda x: x.isNotNull()), spelled)
+    return F.transform(F.filter(packed_keys(wide(line), length, edits), lambda x: x.isNotNull()), spelled)
 
 
 _NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -165,7 +170,8 @@ def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     has are dropped by a partial aggregation before anything is joined; texts are read again for
     the few lines that share a segment with another.
     """
-    packed = stored(lines.select("h1", F.explode(packed_keys(F.col("line"), F.col("n"), edits)).alias("packed")).where("packed is not null"), "line_keys")
+    spread = lines.select("h1", "n", wide(F.col("line")).alias("line"))  # once a line, for all of its keys
+    packed = stored(spread.select("h1", F.explode(packed_keys(F.col("line"), F.col("n"), edits)).alias("packed")).where("packed is not null"), "line_keys")
     key, own = _unpacked(F.col("packed"))
     keys = packed.select("h1", key.alias("key"), own.alias("own"))
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("owned"))
