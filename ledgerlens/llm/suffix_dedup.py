@@ -4,15 +4,17 @@
    window's anchor, so equal windows have equal anchors at equal places.  Slices of documents send
    their anchors' hashes to hash buckets, which answer whether another place has them as well.
 2. *Suffix arrays.*  Shared anchors are sent again, with the bytes of all their windows, to buckets
-   by hash: all copies of a window meet in one bucket.  A bucket sorts the suffixes that start its
-   windows and keeps the common prefixes of neighbours: an enhanced suffix array.  Its intervals
-   with a common prefix of LENGTH are the strings that occur twice; every occurrence but the first
-   goes.  Longer intervals lie within these, so the query groups by the prefix alone.
+   by hash: all copies of a window meet in one bucket.  A bucket sorts suffixes of these
+   surroundings and keeps the common prefixes of neighbours: an enhanced suffix array.  Its tree of
+   intervals with a common prefix of LENGTH or more is scanned with a stack.  Intervals whose
+   suffixes differ in the byte before them, or reach the left end of the surroundings, are the
+   maximal repeats there, with all occurrences; every occurrence but the first goes.  Any string of
+   LENGTH that occurs twice lies at one place within such a repeat that has the same occurrences.
 3. *Cutting.*  The slices get the byte ranges back and unite them.
 
-``maximal_repeats`` is beside the query: from the intervals whose occurrences have different bytes
-before them it follows the text onwards, in rounds, and scans the tree of what they have in common
-with a stack: maximal repeats in full length, with all occurrences.
+``maximal_repeats`` goes beyond the surroundings: from the runs whose occurrences have different
+bytes before them it follows the text onwards, in rounds, and scans the tree of what they have in
+common in the same way: maximal repeats in full length, with all occurrences.
 
 Equal surroundings of an anchor within a slice are sent once.  Anchors in more than HOT places
 don't gather their surroundings in one bucket: their windows go to buckets one by one, by hash.
@@ -172,14 +174,25 @@ def _count_anchors(hot: int):
     return count
 
 
+def _unite(doc: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, start, end) of the byte ranges that the places cover, neighbours united."""
+    if not len(doc):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    at = doc.astype(np.int64) << 32 | start.astype(np.int64)
+    end = at + length
+    order = np.argsort(at)
+    at, reach = at[order], np.maximum.accumulate(end[order])
+    edge = np.flatnonzero(np.r_[True, at[1:] > reach[:-1]])
+    low = (1 << 32) - 1
+    return at[edge] >> 32, at[edge] & low, reach[np.r_[edge[1:], len(at)] - 1] & low
+
+
 def _ranges(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Byte ranges that the windows cover, neighbours united."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order].astype(np.int64), start[order].astype(np.int64)
-    edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + LENGTH)]) if len(doc) else np.zeros(0, np.int64)
-    out = np.zeros(len(edge), _RANGE)
-    out["doc"], out["start"] = doc[edge], start[edge]
-    out["end"] = start[np.r_[edge[1:], len(doc)] - 1] + LENGTH if len(edge) else 0
+    doc, start, end = _unite(doc, start, LENGTH)
+    out = np.zeros(len(doc), _RANGE)
+    out["doc"], out["start"], out["end"] = doc, start, end
     return out
 
 
@@ -260,107 +273,167 @@ def _send_windows(n_buckets: int, every: bool = False):
 
 
 class SuffixArray:
-    """The windows of a bucket's surroundings in the order of their LENGTH-byte prefixes, with intervals.
+    """An enhanced suffix array of a bucket's surroundings: suffixes in order, with common prefixes of neighbours.
 
-    place, doc, start: of every suffix, sorted; only windows that have a twin take part.  interval:
-    the number of the run of equal prefixes.  order: document and start in one number.
+    A suffix reaches to the end of its surroundings.  Those take part that start a window with twins
+    of which one stands at the left end of its surroundings, or two have different bytes before
+    them; of every other window the one before it has the same occurrences.
+
+    place, doc, start, length: of every suffix.  common: with the next suffix.  order: document and
+    start in one number.  before: the byte before it, -1 at the start of a document; left: -1 also
+    at the left end of the surroundings.
     """
 
     def __init__(self, rows: list[dict]):
         unpack = zstandard.ZstdDecompressor()
         contexts = [np.frombuffer(r["items"], _CONTEXT) for r in rows]
-        tables = [np.frombuffer(r["docs"], _DOC) for r in rows]
-        self.buf = np.frombuffer(b"".join(unpack.decompress(r["bytes"]) for r in rows) + bytes(8), np.uint8)
-        base = np.cumsum([0, *map(len, tables)])
-        table = np.concatenate(tables)
-        rank = np.empty(len(table), np.int64)
-        rank[np.lexsort((table["rid"], table["order"]))] = np.arange(len(table))
+        data = b"".join(unpack.decompress(r["bytes"]) for r in rows)
+        self.buf = np.frombuffer(data, np.uint8)
+        base, rank = _places_of(rows)
         context = np.concatenate(contexts)
-        size = context["windows"].astype(np.int64) + LENGTH - 1
+        windows = context["windows"].astype(np.int64)
+        size = windows + LENGTH - 1
         begin = np.cumsum(size) - size
-        doc = context["doc"].astype(np.int64) + np.repeat(base[:-1], [len(c) for c in contexts])
-        self.owner = np.repeat(np.arange(len(rows)), [len(c) for c in contexts])
-        item, place = _expand(begin, context["windows"].astype(np.int64))
-        sums = T.prefix_sums(self.buf)
-        h = T.span_hashes(sums, place, place + LENGTH)
-        values, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-        twin = counts[inverse] > 1  # others occur once: they are in no interval
-        item, place = item[twin], place[twin]
-        del h, values, inverse, counts, twin, sums
-        steps = [*range(0, LENGTH - 8, 8), LENGTH - 8]
-        columns = [self.words(place + s) for s in steps]
-        order = np.lexsort(columns[::-1])
-        equal = np.ones(max(len(order) - 1, 0), bool)
-        while columns:
-            c = columns.pop()[order]
-            equal &= c[1:] == c[:-1]
-        self.item, self.place = item[order], place[order]
-        self.begins = np.r_[True, ~equal] if len(order) else np.zeros(0, bool)
-        self.start = context["start"].astype(np.int64)[self.item] + self.place - begin[self.item]
-        self.row, self.local = self.owner[self.item], context["doc"].astype(np.int64)[self.item]
-        self.order = rank[doc[self.item]] << 32 | self.start
-        self.doc = table["order"][doc[self.item]]
-        at_edge = self.place == begin[self.item]
-        self.before = np.where(at_edge, context["before"].astype(np.int64)[self.item], self.buf[np.maximum(self.place - 1, 0)].astype(np.int64))
-
-    def words(self, at: np.ndarray) -> np.ndarray:
-        """The eight bytes from each place on as a number, the first byte highest."""
-        out = np.zeros(len(at), np.uint64)
-        for j in range(8):
-            out <<= np.uint64(8)
-            out |= self.buf[at + j]
-        return out
-
-    def later(self) -> np.ndarray:
-        """Whether a suffix's interval has an earlier occurrence."""
-        if not len(self.order):
-            return np.zeros(0, bool)
-        edges = np.flatnonzero(self.begins)
-        least = np.minimum.reduceat(self.order, edges)
-        return self.order > least[np.cumsum(self.begins) - 1]
+        item, place = _expand(begin, windows)
+        h = T.span_hashes(T.prefix_sums(self.buf), place, place + LENGTH)
+        left = self.buf[np.maximum(place - 1, 0)].astype(np.int16)
+        left[np.cumsum(windows) - windows] = -1
+        order = np.argsort(h)
+        h, twins = h[order], left[order]
+        cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        count = np.diff(np.r_[cuts, len(h)])
+        least = np.minimum.reduceat(twins, cuts)
+        varied = (count > 1) & ((least < 0) | (least != np.maximum.reduceat(twins, cuts)))
+        chosen = order[np.repeat(varied, count)]
+        item, place, left = item[chosen], place[chosen], left[chosen]
+        del h, twins, order, cuts, count, least, varied
+        end = (begin + size)[item]
+        texts = [data[i:j] for i, j in zip(place.tolist(), end.tolist())]
+        order = np.array(sorted(range(len(texts)), key=texts.__getitem__), np.int64)
+        del texts
+        item, self.place, self.left, self.length = item[order], place[order], left[order], (end - place)[order]
+        self.common = self._common_prefixes()
+        self.start = context["start"].astype(np.int64)[item] + self.place - begin[item]
+        self.doc = (context["doc"].astype(np.int64) + np.repeat(base[:-1], [len(c) for c in contexts]))[item]
+        self.order = rank[self.doc] << 32 | self.start
+        self.before = np.where(self.place == begin[item], context["before"][item], self.left)
+
+    def _common_prefixes(self) -> np.ndarray:
+        """Bytes that each suffix and the next one begin with alike."""
+        width, out = 2 * LENGTH - K, []
+        text = np.lib.stride_tricks.sliding_window_view(np.r_[self.buf, np.zeros(width, np.uint8)], width)
+        for i in range(0, len(self.place) - 1, 1 << 14):
+            block = text[self.place[i:i + (1 << 14) + 1]]
+            differs = block[1:] != block[:-1]
+            out.append(np.where(differs.any(axis=1), differs.argmax(axis=1), width))
+        common = np.concatenate(out) if out else np.zeros(0, np.int64)
+        return np.minimum(common, np.minimum(self.length[1:], self.length[:-1]))
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) of the runs of suffixes with a common prefix of LENGTH, two or more."""
+        edge = np.flatnonzero(self.common < LENGTH) + 1
+        first, end = np.r_[0, edge], np.r_[edge, len(self.place)]
+        several = end - first > 1
+        return first[several], end[several]
+
+    def repeats(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, end, length) of the intervals of LENGTH or more whose suffixes differ to the left: the maximal repeats.
+
+        A run whose neighbours all have the same in common is one interval; the others' trees are
+        scanned with a stack.
+        """
+        first, end = self.runs()
+        if not len(first):
+            none = np.zeros(0, np.int64)
+            return none, none, none
+        pair, at = _expand(first, end - first - 1)
+        edge = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        least, most = np.minimum.reduceat(self.common[at], edge), np.maximum.reduceat(self.common[at], edge)
+        member, at = _expand(first, end - first)
+        edge = np.flatnonzero(np.r_[True, member[1:] != member[:-1]])
+        low, high = np.minimum.reduceat(self.left[at], edge), np.maximum.reduceat(self.left[at], edge)
+        plain = least == most
+        out = plain & ((low < 0) | (low != high))
+        nested = [x for a, b in zip(first[~plain].tolist(), end[~plain].tolist()) for x in self._scan(a, b)]
+        more = np.array(nested, np.int64).reshape(-1, 3)
+        return np.r_[first[out], more[:, 0]], np.r_[end[out], more[:, 1]], np.r_[least[out], more[:, 2]]
+
+    def _scan(self, begin: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """The stack scan of one run: an interval is told when it closes, if the bytes before its suffixes differ."""
+        stack: list[list[int]] = []  # [common prefix, first suffix, least and greatest byte before] of open intervals
+        common, before = [*self.common[begin:end - 1].tolist(), 0], self.left[begin:end].tolist()
+        for i, (p, low) in enumerate(zip(common, before), begin):
+            first, high = i, low
+            while stack and stack[-1][0] > p:
+                length, first, a, b = stack.pop()
+                low, high = min(low, a), max(high, b)
+                if low < 0 or low != high:
+                    yield first, i + 1, length
+            if stack and stack[-1][0] == p:
+                stack[-1][2:] = min(low, stack[-1][2]), max(high, stack[-1][3])
+            elif p >= LENGTH:
+                stack.append([p, first, low, high])
+
+    def later(self) -> tuple[np.ndarray, np.ndarray]:
+        """(suffix, length): all occurrences of the maximal repeats but each one's first."""
+        first, end, length = self.repeats()
+        if not len(first):
+            return first, length
+        group, suffix = _expand(first, end - first)
+        least = np.minimum.reduceat(self.order[suffix], np.cumsum(end - first) - (end - first))
+        goes = self.order[suffix] > least[group]
+        return suffix[goes], length[group[goes]]
 
     def varied(self) -> Iterator[np.ndarray]:
-        """The suffixes of each run of equal prefixes with different bytes before them, or the start of a document.
+        """The suffixes of each run with different bytes before them, or the start of a document.
 
         Where all have the same byte before them, so has every longer repeat within.
         """
-        edges = np.flatnonzero(self.begins)
-        if not len(edges):
-            return
-        ends = np.r_[edges[1:], len(self.begins)]
-        least = np.minimum.reduceat(self.before, edges)
-        chosen = ((least != np.maximum.reduceat(self.before, edges)) | (least < 0)) & (ends - edges > 1)
-        for a, b in zip(edges[chosen].tolist(), ends[chosen].tolist()):
-            yield np.arange(a, b)
+        for a, b in zip(*(x.tolist() for x in self.runs())):
+            before = self.before[a:b]
+            if before.min() < 0 or before.min() != before.max():
+                yield np.arange(a, b)
+
+
+def _places_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """(where each row's documents begin among all rows', rank of each document by id and place in the table)."""
+    tables = [np.frombuffer(r["docs"], _DOC) for r in rows]
+    table = np.concatenate(tables)
+    rank = np.empty(len(table), np.int64)
+    rank[np.lexsort((table["rid"], table["order"]))] = np.arange(len(table))
+    return np.cumsum([0, *map(len, tables)]), rank
+
+
+def _told(rows: list[dict], doc: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> Iterator[tuple[int, bytes]]:
+    """(slice, ranges) of the given places; doc counts the documents of all rows."""
+    doc, start, end = _unite(doc, start, length)
+    base = np.cumsum([0, *(len(r["docs"]) // _DOC.itemsize for r in rows)])
+    row = np.searchsorted(base, doc, side="right") - 1
+    edge = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else row
+    for i, j in zip(edge.tolist(), np.r_[edge[1:], len(row)].tolist()):
+        r = rows[int(row[i])]
+        out = np.zeros(j - i, _RANGE)
+        out["doc"] = (np.frombuffer(r["docs"], _DOC)["rid"] & 0xFFFF)[doc[i:j] - base[row[i]]]
+        out["start"], out["end"] = start[i:j], end[i:j]
+        yield r["slice"], out.tobytes()
 
 
 def _find(table: pa.Table) -> pa.Table:
-    """One bucket: the byte ranges of each slice that occur earlier."""
+    """One bucket: the byte ranges of each slice that occur earlier, as occurrences of its maximal repeats."""
     rows = table.to_pylist()
     out = [(r["slice"], r["items"]) for r in rows if r["kind"] == 2]
     if near := [r for r in rows if r["kind"] == 0]:
         array = SuffixArray(near)
-        later = array.later()
-        for i in np.unique(array.row[later]).tolist():
-            mine = later & (array.row == i)
-            used = np.frombuffer(near[i]["docs"], _DOC)["rid"] & 0xFFFF
-            out.append((near[i]["slice"], _ranges(used[array.local[mine]], array.start[mine]).tobytes()))
+        suffix, length = array.later()
+        out += _told(near, array.doc[suffix], array.start[suffix], length)
     if hot := [r for r in rows if r["kind"] == 1]:
         items = [np.frombuffer(r["items"], _HASHED) for r in hot]
-        tables = [np.frombuffer(r["docs"], _DOC) for r in hot]
-        every, table_ = np.concatenate(items), np.concatenate(tables)
-        owner = np.repeat(np.arange(len(hot)), [len(x) for x in items])
-        doc = every["doc"] + np.cumsum([0, *map(len, tables)])[owner]
-        rank = np.empty(len(table_), np.int64)
-        rank[np.lexsort((table_["rid"], table_["order"]))] = np.arange(len(table_))
+        every = np.concatenate(items)
+        base, rank = _places_of(hot)
+        doc = every["doc"] + np.repeat(base[:-1], [len(x) for x in items])
         order = np.lexsort((every["start"], rank[doc], every["hash"]))
-        sorted_hash = every["hash"][order]
-        later = np.zeros(len(every), bool)
-        later[order[1:]] = sorted_hash[1:] == sorted_hash[:-1]
-        for i, r in enumerate(hot):
-            mine = later & (owner == i)
-            if mine.any():
-                out.append((r["slice"], _ranges((table_["rid"] & 0xFFFF)[doc[mine]], every["start"][mine].astype(np.int64)).tobytes()))
+        again = order[1:][every["hash"][order[1:]] == every["hash"][order[:-1]]]
+        out += _told(hot, doc[again], every["start"][again].astype(np.int64), LENGTH)
     return pa.Table.from_batches([_batch(out, _RANGES)])
 
 
@@ -390,12 +463,13 @@ def _first_places(table: pa.Table) -> pa.Table:
     out: list[tuple] = []
     if near:
         array = SuffixArray(near)
-        docs = [(np.frombuffer(r["docs"], _DOC)["rid"] & 0xFFFF).tolist() for r in near]
+        table = np.concatenate([np.frombuffer(r["docs"], _DOC) for r in near])
         for members in array.varied():
             a = int(array.place[members[0]])
             node = hashlib.sha256(array.buf[a:a + LENGTH].tobytes()).digest()
-            for row, local, start, before in zip(*(x[members].tolist() for x in (array.row, array.local, array.start, array.before))):
-                out.append((node, LENGTH, near[row]["slice"], docs[row][local], None, start, before, True))
+            rid = table["rid"][array.doc[members]]
+            for slice_, doc, start, before in zip((rid >> 16).tolist(), (rid & 0xFFFF).tolist(), array.start[members].tolist(), array.before[members].tolist()):
+                out.append((node, LENGTH, slice_, doc, None, start, before, True))
     return pa.Table.from_batches([_batch(out, _PLACES)])
 
 

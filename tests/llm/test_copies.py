@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import components, line_dedup, ngram_join, passage_dedup, suffix_dedup
@@ -168,6 +169,49 @@ def test_byte_repeats(docs, rows, empty):
     assert len(every) == len(rows) and sum(r.n_removed == 0 and r.n_bytes > 5000 for r in every) >= 1
 
 
+def test_byte_repeats_nested_and_periodic(spark):
+    """Nested prefixes, short periods, zero bytes, and copies over slices: removals equal brute force."""
+    rng = np.random.default_rng(11)
+    base = ["".join(rng.choice(list("ab\x00é"), 400)) for _ in range(4)]
+    texts = [(0, "ab" * 150), (1, "x" + "ab" * 90), (2, "\x00" * 130), (3, "c" + "\x00" * 260 + "d"), (4, base[0] + base[1])]
+    for i in range(5, 60):
+        b = base[int(rng.integers(4))]
+        at, n = int(rng.integers(0, 250)), int(rng.integers(60, 300))
+        texts.append((i, "".join(rng.choice(list("xyz"), int(rng.integers(0, 40)))) + b[at:at + n] + "".join(rng.choice(list("ab"), 3)) + b[:n]))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for parts in (1, 7):
+        spread = stored(docs.repartition(parts), "test_nested")
+        for hot in (suffix_dedup.HOT, 5):
+            assert sorted(tuple(r) for r in suffix_dedup.document_repeats(spread, hot).collect()) == brute_repeats(texts)
+
+
+def test_intervals_of_a_bucket():
+    """The stack scan gives every repeat that differs to the left, or starts its surroundings, with all occurrences."""
+    rng = np.random.default_rng(12)
+    core = bytes(rng.choice(list(b"abc"), 168).astype(np.uint8))
+    texts = []
+    for _ in range(40):
+        at, n = int(rng.integers(0, 50)), int(rng.integers(100, 160))
+        texts.append((bytes(rng.choice(list(b"ab"), int(rng.integers(0, 8))).astype(np.uint8)) + core[at:at + n])[:168])
+    items, docs = np.zeros(len(texts), suffix_dedup._CONTEXT), np.zeros(len(texts), suffix_dedup._DOC)
+    items["doc"], items["windows"], items["before"] = np.arange(len(texts)), [len(t) - 99 for t in texts], -1
+    docs["order"] = docs["rid"] = np.arange(len(texts))
+    array = suffix_dedup.SuffixArray([{"slice": 0, "items": items.tobytes(), "docs": docs.tobytes(), "bytes": zstandard.compress(b"".join(texts))}])
+    got = [(n, frozenset(zip(array.doc[a:b].tolist(), array.start[a:b].tolist()))) for a, b, n in zip(*(x.tolist() for x in array.repeats()))]
+    wanted = set()
+    for length in range(100, 169):
+        places = {}
+        for i, t in enumerate(texts):
+            for s in range(len(t) - length + 1):
+                places.setdefault(t[s:s + length], []).append((i, s))
+        for same in places.values():
+            left = {texts[i][s - 1] if s else -1 for i, s in same}
+            right = {texts[i][s + length] if s + length < len(texts[i]) else (i, s) for i, s in same}
+            if len(same) > 1 and (len(left) > 1 or -1 in left) and len(right) > 1:
+                wanted.add((length, frozenset(same)))
+    assert len(got) == len(set(got)) and set(got) == wanted and any(n > 100 for n, _ in got)
+
+
 def test_maximal_repeats(spark):
     common = " ".join(prose(9, 30))[:120]
     texts = [(1, "q" * 10 + common + "zz"), (2, common + "!"), (3, "some " + common[:110] + " other"), (4, "nothing here")]
