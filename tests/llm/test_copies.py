@@ -238,6 +238,42 @@ def test_passages(docs, empty, spark):
     assert found == set(range(20, 100))
 
 
+def test_edited_passages(spark):
+    """Pasted passages with an edit in the middle, and repeats within one document, are found to their true ends."""
+    rng, texts, planted = np.random.default_rng(21), [], {}
+    for k in range(100):
+        n = (51, 60, 80, 100)[k % 4]
+        passage = prose(7000 + k, n)
+        edited = {0: passage, 1: passage[:n // 2] + ["edited"] + passage[n // 2 + 1:], 2: passage[:n // 2] + passage[n // 2 + 1:]}[k % 3]
+        before = prose(8000 + k, int(rng.integers(20, 70)))
+        texts += [(3 * k, " ".join(prose(9000 + k, 40) + passage + prose(10000 + k, 40))), (3 * k + 1, " ".join(before + edited + prose(11000 + k, 30))),
+                  (3 * k + 2, " ".join(prose(12000 + k, 90)))]
+        planted[3 * k + 1] = (len(before), len(before) + len(edited))
+    twice = prose(13000, 70)
+    texts.append((1000, " ".join(prose(13001, 30) + twice + prose(13002, 30) + twice + prose(13003, 30))))
+    got = {}
+    for r in passage_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.first_word, r.end_word, r.kept_doc_id))
+    assert got.pop(1000) == [(130, 200, 1000)]
+    assert set(got) <= set(planted)  # first copies and clean documents stay
+    covered = [sum(max(0, min(b, e) - max(a, s)) for s, e, _ in got.get(d, [])) / (b - a) for d, (a, b) in planted.items()]
+    assert sum(c >= 0.95 for c in covered) >= 95 and all(kept == d - 1 for d, v in got.items() for _, _, kept in v)
+
+
+def test_extension():
+    """Over an edit as long as the passage keeps the threshold; not into unlike text."""
+    def words(x):
+        return np.array(x, "<u4").tobytes()
+
+    text, other = list(range(60)), list(range(100, 160))
+    edited = [*text[:20], 999, *text[21:]]
+    assert passage_dedup.grown(words(text), words(edited), 12, (0, 0)) == (60, (5, 5))
+    assert passage_dedup.grown(words(text), words(text[:20] + text[21:]), 12, (0, 0)) == (60, (5, 4))
+    assert passage_dedup.grown(words(text[:20] + other), words(text), 12, (0, 0)) == (20, (0, 0))
+    assert passage_dedup.grown(words([*text[:3], 999, *text[4:20]]), words(text[:20]), 12, (0, 0)) == (3, (0, 0))  # else 23 of 33 shingles
+    assert passage_dedup.grown(b"", words(text), 12, (0, 0)) == (0, (0, 0))
+
+
 def test_short_lines_and_copied_documents(spark):
     """Exact repeats go whatever their length; of a copy no fragment is left; short lines are not joined by edits."""
     body = lines_of(prose(70, 48))
