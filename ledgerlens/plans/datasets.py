@@ -50,6 +50,14 @@ def forget_stages() -> None:
         held.clear()
 
 
+def clear(spark: SparkSession) -> int:
+    """Remove this session's stored tables from the shared folder; stages are built again when next asked for."""
+    from ledgerlens.session import clear_scratch
+
+    forget_stages()
+    return clear_scratch(spark)
+
+
 def _materialize_enabled(spark: SparkSession) -> bool:
     return str(spark.conf.get("ledgerlens.materialize", "true")).lower() != "false"
 

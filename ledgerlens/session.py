@@ -9,6 +9,7 @@ when that setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -61,6 +62,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this session wrote, and tell how many.
+
+    Spark gives every session a checkpoint folder of its own, in which only tables named by
+    ``scratch_dir`` are touched.  Call it when no DataFrame built on them is needed any more;
+    ``plans.datasets.clear`` also forgets the stages that are remembered by path.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    tables = [f.getPath() for f in fs.listStatus(base)] if fs.exists(base) else []
+    written = [t for t in tables if re.fullmatch(r".+-[0-9a-f]{12}", t.getName())]
+    return sum(fs.delete(t, True) for t in written)
+
+
 _shipped: set[str] = set()
 
 

@@ -177,3 +177,26 @@ def test_stages_know_their_input(spark, tmp_path):
     assert digests[0] == digests[1] and digests[0][0] == digests[2][0] and digests[0][1] != digests[2][1]
     os.remove(os.path.join(out, "cleaned", sinks.MANIFEST))
     assert not sinks.stage_done(spark, out + "/cleaned", digests[0][0]) and sinks.stage_done(spark, out + "/cleaned")
+
+
+# ---------------------------------------------------------------- clean-up
+def test_clear_removes_stored_tables_alone(spark, tmp_path, monkeypatch):
+    from ledgerlens.plans import datasets
+    for held in ("_STAGES", "_SMALL", "_MODELS", "_KEPT"):
+        monkeypatch.setattr(datasets, held, {})
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        other = tmp_path / "other-0123456789ab"  # beside the session's own folder
+        other.mkdir()
+        checkpointed = spark.range(3).checkpoint()
+
+        def build():
+            return datasets.stage(spark, "/root/testdata/sf0.001", "numbers", lambda: spark.range(5))
+        assert build().count() == 5 and sum(n.startswith("stage-numbers-") for n in os.listdir(folder)) == 1
+        assert datasets.clear(spark) == 1 and not any(n.startswith("stage-") for n in os.listdir(folder))
+        assert other.exists() and checkpointed.count() == 3
+        assert build().count() == 5 and datasets.clear(spark) == 1 and datasets.clear(spark) == 0
+    finally:
+        spark.sparkContext.setCheckpointDir(os.path.dirname(before))
