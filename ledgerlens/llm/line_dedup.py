@@ -5,8 +5,9 @@ insertions, deletions or replacements of it.  Two lines that near share one of e
 of the shorter one exactly, at a place that the lengths and the segment's number allow; so every
 distinct line is indexed by its segments, probes the lengths up to ``edits`` below its own with
 the few substrings that can match, and candidates are verified by a banded bit-parallel edit
-distance.  Lines that share a segment are paired with each other before the letter filter: a
-segment that m distinct lines of like length share gives about m * m / 2 pairs.
+distance.  A segment that many lines share (templates with an id in them) is not paired out: its
+lines meet by the segment together with two of their rarest grams, of which near lines always
+share two.
 """
 
 from __future__ import annotations
@@ -19,6 +20,12 @@ from ledgerlens.llm.common import small, stored
 MAX_EDITS = 2
 #: Shorter lines are not joined: two edits would join lines that have little in common.
 MIN_CHARS = 30
+#: A segment's lines are paired with each other up to this number; beyond it they also need two grams in common.
+CROWD = 64
+#: Characters of a gram of a crowded segment's lines.
+GRAM = 3
+#: Rare grams that near lines are sure to share, out of edits * GRAM + SHARED.
+SHARED = 2
 
 
 def _segment(i: int, length: Column, edits: int) -> tuple[Column, Column]:
@@ -163,12 +170,38 @@ def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
     return _let(F.struct(chars(a).alias("a"), chars(b).alias("b")), lambda x: column(x["a"], x["b"]))
 
 
+def _few_grams(n: Column, edits: int) -> Column:
+    """Whether a line of n characters has too few grams for its rarest to decide."""
+    return n - (GRAM - 1) < edits * GRAM + SHARED
+
+
+def rare_gram_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """(h1, pair): hashes of every two of a line's edits * GRAM + SHARED rarest grams.
+
+    lines: h1, line, n, distinct.  The k-th equal gram of a line is an element of its own, and an
+    edit touches at most GRAM elements; so of two lines within ``edits`` the larger set lacks at
+    most edits * GRAM elements of the other, and taken rarest first (ties by the gram), both
+    beginnings hold SHARED common elements, unless both lines have ``_few_grams``.
+    """
+    place = F.sequence(F.lit(0), F.col("n") - GRAM)
+    grams = (lines.where(F.col("n") >= GRAM).select("h1", "n", wide(F.col("line")).alias("wide"))
+             .select("h1", F.explode(F.transform(place, lambda i: F.substring(F.col("wide"), 4 * i + 1, F.lit(4 * GRAM)))).alias("gram")))
+    times = grams.groupBy("h1", "gram").agg(F.count("*").cast("int").alias("times"))
+    elements = stored(times.select("h1", "gram", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("nth")), "line_grams")
+    held = stored(elements.groupBy("gram", "nth").agg(F.count("*").alias("held")), "held_grams")
+    ranked = elements.join(small(held), ["gram", "nth"]).groupBy("h1").agg(F.sort_array(F.collect_list(F.struct("held", "gram", "nth"))).alias("r"))
+    most = edits * GRAM + SHARED
+    pairs = [F.when(F.size("r") > j, F.xxhash64(F.get("r", F.lit(i)), F.get("r", F.lit(j)))) for j in range(most) for i in range(j)]
+    return ranked.select("h1", F.explode(F.array(*pairs)).alias("pair")).where("pair is not null")
+
+
 def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """(a, b): pairs of distinct lines, by their h1, within ``edits`` of each other.
 
     lines: h1, line, n; repeats are allowed.  Keys are stored and only keys are shuffled; those that one line alone
     has are dropped by a partial aggregation before anything is joined; texts are read again for
-    the few lines that share a segment with another.
+    the few lines that share a segment with another.  Lines of a key with more than CROWD of them
+    are joined by the key and a pair of rare grams.
     """
     spread = lines.select("h1", "n", wide(F.col("line")).alias("line"))  # once a line, for all of its keys
     packed = stored(spread.select("h1", F.explode(packed_keys(F.col("line"), F.col("n"), edits)).alias("packed")).where("packed is not null"), "line_keys")
@@ -180,11 +213,21 @@ def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     ids = stored(active.select("h1").distinct(), "active_ids")
     texts = stored(lines.select("h1", "line", "n").join(small(ids), "h1").groupBy("h1").agg(F.first("line").alias("line"), F.first("n").alias("n"))
                    .withColumn("sig", letter_counts(F.col("line"))), "active_lines")
-    rows = active.join(texts.select("h1", "sig"), "h1")
-    near = (F.expr("x.key = y.key and x.h1 <> y.h1 and (not y.own or x.h1 < y.h1)")
-            & (letters_apart(F.col("x.sig"), F.col("y.sig")) <= 2 * edits))
-    pairs = (rows.where("own").alias("x").join(rows.alias("y"), near)
-             .select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct())
+    crowded = small(stored(active.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > CROWD).select("key"), "crowded_keys"))
+    dense = stored(active.join(crowded, "key", "left_semi"), "crowded_lines")
+    grams = rare_gram_pairs(texts.join(small(stored(dense.select("h1").distinct(), "crowded_ids")), "h1", "left_semi"), edits)
+    met = dense.join(grams, "h1").select("h1", F.xxhash64("key", "pair").alias("key"), "own")
+
+    def pairs_of(keyed: DataFrame) -> DataFrame:
+        rows = keyed.join(texts.select("h1", "sig"), "h1")
+        near = (F.expr("x.key = y.key and x.h1 <> y.h1 and (not y.own or x.h1 < y.h1)")
+                & (letters_apart(F.col("x.sig"), F.col("y.sig")) <= 2 * edits))
+        return (rows.where("own").alias("x").join(rows.alias("y"), near)
+                .select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")))
+
+    short = texts.where(_few_grams(F.col("n"), edits)).select("h1")
+    sparse = active.join(crowded, "key", "left_anti").unionByName(dense.join(short, "h1", "left_semi"))
+    pairs = pairs_of(sparse).unionByName(pairs_of(stored(met, "crowded_pairs"))).distinct()
     left = texts.select(F.col("h1").alias("a"), F.col("line").alias("la"), F.col("n").alias("na"))
     right = texts.select(F.col("h1").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb"))
     both = pairs.join(left, "a").join(right, "b").where(F.abs(F.col("na") - F.col("nb")) <= edits)

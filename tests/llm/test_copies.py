@@ -144,6 +144,35 @@ def test_edit_distance_and_keys(spark):
                 assert {x.key for x in r.ka if x.own} & {x.key for x in r.kb} or {x.key for x in r.kb if x.own} & {x.key for x in r.ka}
 
 
+def test_crowded_segments(spark, monkeypatch):
+    """Lines of a template, and short lines of few letters with few grams, whose keys hold more lines than are paired out."""
+    monkeypatch.setattr(line_dedup, "CROWD", 3)
+    rng = np.random.default_rng(5)
+    ids = ["".join("01é💥"[i] for i in rng.integers(0, 4, 6)) for _ in range(90)]
+    plain = [f"The parcel with the number {x} was sent to you" for x in ids]
+    plain += [f"number number {x[:3]} number number number {x[3:]}" for x in ids[:60]]
+    plain += ["aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" + x[:k] for k, x in enumerate(ids[:6])]
+    plain += ["".join("abc"[i] for i in rng.integers(0, 3, int(rng.integers(4, 15)))) for _ in range(120)]
+    plain = sorted(set(plain))
+    lines = spark.createDataFrame([(x,) for x in plain + plain[:20]], "line string").select(F.xxhash64("line").alias("h1"), "line", F.char_length("line").alias("n"))
+    of = {r.h1: r.line for r in lines.collect()}
+    for edits in (1, 2, 3):
+        got = [frozenset((of[r.a], of[r.b])) for r in line_dedup.near_pairs(lines, edits).collect()]
+        want = {frozenset((x, y)) for i, x in enumerate(plain) for y in plain[:i] if abs(len(x) - len(y)) <= edits and levenshtein(x, y) <= edits}
+        assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_crowded_segments_make_few_candidates(spark):
+    """A thousand lines of a template and their ids: as many rows meet as lines, not as pairs of them."""
+    rng = np.random.default_rng(6)
+    texts = [f"Your order {int(x):014d} was shipped to the address on file" for x in rng.integers(0, 10**14, 1000)]
+    lines = spark.createDataFrame([(x,) for x in texts], "line string").select(F.xxhash64("line").alias("h1"), "line", F.char_length("line").alias("n"))
+    pairs = line_dedup.rare_gram_pairs(lines)
+    assert pairs.groupBy("h1").count().where("count > 28").count() == 0
+    met = pairs.groupBy("pair").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0]
+    assert met < 20 * 1000  # of 499,500
+
+
 def brute_repeats(texts, length=100):
     seen, out = set(), []
     for i, t in texts:
