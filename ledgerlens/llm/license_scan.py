@@ -172,7 +172,7 @@ def _hash_word(word: str) -> np.uint64:
 def _compiled() -> dict[str, list[tuple[int, Signature, re.Pattern]]]:
     by_keyword: dict[str, list] = {}
     for i, s in enumerate(SIGNATURES):
-        rule = (i, s, re.compile(rf"(?<!\S)(?:{s.pattern})(?!\S)"))
+        rule = (i, s, re.compile(rf"(?<![^ ])(?:{s.pattern})(?![^ ])"))
         for keyword in s.keywords.split():
             by_keyword.setdefault(keyword, []).append(rule)
     return by_keyword

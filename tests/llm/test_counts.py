@@ -140,3 +140,11 @@ def test_license_scan_with_and_without_prefilter(spark):
     assert [(k, got[k].labels) for k, _ in want] == want
     assert [got[len(texts) - j].labels for j in range(8, 2, -1)] == ["gpl-3", "gpl-2-only", "lgpl-2.1", "agpl-3", "gpl-3", "0bsd"]
     assert all(got[len(texts) - j].score > 0 for j in range(8, 1, -1)) and got[len(texts) - 1].score == 0
+
+
+def test_license_words_end_at_ascii_blanks_alone(spark):
+    texts = ["MIT license", "MIT license\u0085", "MIT license\u00a0v", "MIT\u3000license", "the MIT license."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.labels) for r in license_scan.document_licenses(docs).collect()}
+    assert [n for _, (n, _) in sorted(got.items())] == [2, 2, 2, 1, 3]
+    assert got[0][1] == got[4][1] == "mit" and got[1][1] == got[2][1] == got[3][1] == ""
