@@ -25,8 +25,10 @@ from ledgerlens.llm.common import ship_code, text_bytes
 CELLS = 24
 GROWTH = 4
 RETRIES = 12
-#: Text in a part of neighbouring documents, about.
+#: Text in a part of neighbouring documents, about, while there are no more than MAX_PARTS of them.
 PART_BYTES = 16 << 20
+#: Parts, each a task and one bound of 16 bytes on the driver; beyond it parts grow (2 GB each at 100 TB), whose sort spills and whose rows are read as a stream.
+MAX_PARTS = 50_000
 #: A word ends a piece when its hash is 0 modulo this (or at the end of a line).
 PIECE_WORDS = 4
 
@@ -235,12 +237,12 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"))
     # the keys alone are range-partitioned first: each non-empty range's least key bounds a part
     # (a given number of ranges: left to itself, Spark would merge the short keys into few, and so the texts)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // PART_BYTES))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-text_bytes(docs) // PART_BYTES), MAX_PARTS))
     keys = rows.select("k1", "k2").repartitionByRange(n, "k1", "k2").withColumn("range", F.spark_partition_id())
-    found = keys.groupBy("range").agg(F.min(F.struct("k1", "k2")).alias("least")).select("least.*").collect()  # one row a range
+    found = keys.groupBy("range").agg(F.min(F.struct("k1", "k2")).alias("least")).select("least.*").collect()  # one short row a range
     bounds = np.array(sorted((r["k1"], r["k2"]) for r in found), dtype=[("k1", "<i8"), ("k2", "<i8")])
     if not len(bounds):
         return spark.createDataFrame([], _OUT_DDL)
     dealt = rows.mapInArrow(_dealer(bounds), "doc_id long, text string, k1 long, k2 long, part int, ahead boolean")
-    ordered = dealt.repartition(2 * len(bounds), "part").sortWithinPartitions("part", "ahead", "k1", "k2")
+    ordered = dealt.repartitionById(len(bounds), "part").sortWithinPartitions("part", "ahead", "k1", "k2")
     return ordered.select("doc_id", "text", "part", "ahead").mapInArrow(_chain, _OUT_DDL)

@@ -147,6 +147,15 @@ def test_fingerprints(docs, rows, empty):
     assert len(fingerprints.document_fingerprints(docs).collect()) == len(rows)
 
 
+def test_fingerprints_with_more_text_than_parts(docs, monkeypatch):
+    """A bound on the parts makes them longer and changes no row."""
+    want = sorted(map(str, fingerprints.document_fingerprints(docs).collect()))
+    monkeypatch.setattr(fingerprints, "PART_BYTES", 100)
+    many = sorted(map(str, fingerprints.document_fingerprints(docs).collect()))
+    monkeypatch.setattr(fingerprints, "MAX_PARTS", 2)
+    assert want == many == sorted(map(str, fingerprints.document_fingerprints(docs).collect()))
+
+
 def test_peeling_recovers_differences():
     rng = np.random.default_rng(0)
     shared, a, b = rng.integers(1, 1 << 62, (3, 40)).astype(np.uint64)
