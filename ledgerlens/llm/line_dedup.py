@@ -192,7 +192,7 @@ def rare_gram_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     ranked = elements.join(small(held), ["gram", "nth"]).groupBy("h1").agg(F.sort_array(F.collect_list(F.struct("held", "gram", "nth"))).alias("r"))
     most = edits * GRAM + SHARED
     pairs = [F.when(F.size("r") > j, F.xxhash64(F.get("r", F.lit(i)), F.get("r", F.lit(j)))) for j in range(most) for i in range(j)]
-    return ranked.select("h1", F.explode(F.array(*pairs)).alias("pair")).where("pair is not null")
+    return ranked.select("h1", F.array(*pairs).alias("pairs")).select("h1", F.explode_outer("pairs").alias("pair")).where("pair is not null")
 
 
 def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
@@ -204,7 +204,9 @@ def near_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     are joined by the key and a pair of rare grams.
     """
     spread = lines.select("h1", "n", wide(F.col("line")).alias("line"))  # once a line, for all of its keys
-    packed = stored(spread.select("h1", F.explode(packed_keys(F.col("line"), F.col("n"), edits)).alias("packed")).where("packed is not null"), "line_keys")
+    # a column of its own, never empty: exploded directly, or not as outer, the array would be evaluated without shared terms, or twice
+    spread = spread.select("h1", packed_keys(F.col("line"), F.col("n"), edits).alias("keys"))
+    packed = stored(spread.select("h1", F.explode_outer("keys").alias("packed")).where("packed is not null"), "line_keys")
     key, own = _unpacked(F.col("packed"))
     keys = packed.select("h1", key.alias("key"), own.alias("own"))
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("owned"))
