@@ -252,9 +252,10 @@ def removed_lines(docs: DataFrame, edits: int = MAX_EDITS, short: bool = False)
     first = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("rid", "line_no")).alias("first")).select("h1", "first"), "first_places")
     a, b = first.select(F.col("h1").alias("a"), F.col("first").alias("fa")), first.select(F.col("h1").alias("b"), F.col("first").alias("fb"))
     later = pairs.join(a, "a").join(b, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
-    verdict = first.join(later.withColumn("near", F.lit(True)), "h1", "left")
+    later = small(stored(later.withColumn("near", F.lit(True)), "later_lines"))
     gone = F.col("near").isNotNull() | (F.struct("rid", "line_no") != F.col("first"))
-    judged = lines.select("rid", "line_no", "h1").join(verdict, "h1")
+    # two tables meet in this join, so the places of a very common line can be split among tasks
+    judged = lines.select("rid", "line_no", "h1").join(first.hint("merge"), "h1").join(later, "h1", "left")
     count = judged.groupBy("rid").agg(F.collect_set("line_no").alias("all"), F.collect_set(F.when(F.col("near").isNotNull(), F.col("line_no"))).alias("near"),
                                       F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))  # sets: repeated rows are one
     return count.select("rid.*", F.size("all").alias("n_lines"), F.size("near").alias("n_near"), "removed")
