@@ -200,3 +200,29 @@ def test_clear_removes_stored_tables_alone(spark, tmp_path, monkeypatch):
         assert build().count() == 5 and datasets.clear(spark) == 1 and datasets.clear(spark) == 0
     finally:
         spark.sparkContext.setCheckpointDir(os.path.dirname(before))
+
+
+# ---------------------------------------------------------------- what moves
+def test_tables_are_written_without_an_exchange(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = spark.range(1000, numPartitions=4).withColumn("part", F.spark_partition_id())
+    written = spark.read.parquet(sinks.write_parquet(rows, str(tmp_path / "t"))).withColumn("file", F.input_file_name())
+    per_file = written.groupBy("file").agg(F.countDistinct("part").alias("n")).collect()
+    assert written.count() == 1000 and len(per_file) == 4 and all(r["n"] == 1 for r in per_file)
+
+
+def test_correlation_moves_its_own_columns_alone(spark):
+    from ledgerlens.plans import datasets
+    rows = datasets.train_balanced(spark, "/root/testdata/sf0.001").select("Amount_Paid", "sender_tx_count_24h", "in_degree")
+    scans = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
+    exchanged = rows._jdf.queryExecution().executedPlan().toString()
+    assert scans and "Payment_Format" not in exchanged and "Receiving_Currency" not in exchanged
+
+
+def test_class_quartiles_are_broadcast(spark):
+    from ledgerlens.plans import sql_views
+    rows = [(i % 2, float(i), "2022-09-01", "a", "b", 1, "x") for i in range(40)]
+    tx = spark.createDataFrame(rows, f"{LAB} int, Amount_Paid double, Timestamp string, From_Account string, To_Account string, Hour int, Payment_Format string")
+    out = sql_views.run(spark, tx, "amount_stats")
+    assert {r[LAB]: r["median_amount"] for r in out.collect()} == {0: 18.0, 1: 19.0}
+    assert "ResolvedHint (strategy=broadcast)" in spark.table("class_quartiles")._jdf.queryExecution().analyzed().toString()
