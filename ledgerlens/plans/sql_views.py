@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config
 from ledgerlens.functions.columns import money_parts
+from ledgerlens.functions.joins import small_side
 from ledgerlens.operators.quantiles import exact_quantiles_disc
 
 LABEL = "CASE WHEN Is_Laundering = 1 THEN 'Fraud' ELSE 'Normal' END AS label"
@@ -59,10 +60,13 @@ def register(spark: SparkSession, cleaned: DataFrame) -> None:
 
 
 def register_quartiles(cleaned: DataFrame) -> None:
-    """class_quartiles: one row a class, the exact order statistics (bucketed counts, no sketch)."""
+    """class_quartiles: one row a class, the exact order statistics (bucketed counts, no sketch).
+
+    Counted and broadcast: a shuffle join on the class would send nearly all rows to one task.
+    """
     q = exact_quantiles_disc(cleaned, "Amount_Paid", QUARTILES, ["Is_Laundering"])
     pick = [F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"q{i + 1}") for i, p in enumerate(QUARTILES)]
-    q.groupBy(F.col("Is_Laundering").alias("label_key")).agg(*pick).createOrReplaceTempView("class_quartiles")
+    small_side(q.groupBy(F.col("Is_Laundering").alias("label_key")).agg(*pick)).createOrReplaceTempView("class_quartiles")
 
 
 def run(spark: SparkSession, cleaned: DataFrame, name: str) -> DataFrame:
