@@ -267,6 +267,21 @@ def test_passages(docs, empty, spark):
     assert found == set(range(20, 100))
 
 
+def test_few_key_rows():
+    """Rows between slices and buckets stay few as text and partitions grow; a part of the paragraphs has the keys it has among all."""
+    text, partitions = 10 << 30, 600
+    assert passage_dedup.key_buckets(text, partitions) * (text // passage_dedup.SLICE_BYTES) < 4_000_000
+    assert passage_dedup.key_buckets(0, 8) == 8
+    words = np.random.default_rng(1).integers(0, 50, 900).astype(np.uint64)
+    begins = np.r_[0, np.sort(np.random.default_rng(2).choice(np.arange(1, 900), 80, replace=False))]
+    ends = np.r_[begins[1:], 900]
+    h, cuts, digest = passage_dedup.shingle_sets(begins, ends, words)
+    some = np.arange(3, 81, 4)
+    h2, cuts2, digest2 = passage_dedup.shingle_sets(begins[some], ends[some], words)
+    assert (digest2 == digest[some]).all()
+    assert (passage_dedup.band_keys(h2, cuts2) == passage_dedup.band_keys(h, cuts)[some]).all()
+
+
 def test_edited_passages(spark):
     """Pasted passages with an edit in the middle, and repeats within one document, are found to their true ends."""
     rng, texts, planted = np.random.default_rng(21), [], {}
