@@ -226,3 +226,29 @@ def test_class_quartiles_are_broadcast(spark):
     out = sql_views.run(spark, tx, "amount_stats")
     assert {r[LAB]: r["median_amount"] for r in out.collect()} == {0: 18.0, 1: 19.0}
     assert "ResolvedHint (strategy=broadcast)" in spark.table("class_quartiles")._jdf.queryExecution().analyzed().toString()
+
+
+def test_feature_queries_keep_one_step_of_shuffles(spark):
+    """What a feature query leaves to its last plan is the join of one side: the shuffles before it belong to stored steps."""
+    from ledgerlens.plans import queries
+
+    for name in ("feature_table", "feature_table_excluding_self"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        initial = plan.split("Initial Plan")[-1]
+        assert initial.count("Exchange hashpartitioning") <= 2, name
+
+
+def test_feature_steps_can_be_stored(spark):
+    """A hook gets each step once, and what it gives back is built on."""
+    from ledgerlens.plans import datasets
+    rows = datasets.tx_split(spark, "/root/testdata/sf0.001").limit(500)
+    for build in (feat.build_features, feat.build_features_excluding_self):
+        seen = []
+
+        def cut(step, df):
+            seen.append(step)
+            return df.localCheckpoint()
+        stored, plain = build(rows, cut=cut), build(rows)
+        assert seen == (["linked_rows"] if build is feat.build_features_excluding_self else []) + ["sender_lookup", "sender_rows", "receiver_lookup"]
+        assert stored.columns == plain.columns
+        assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
